@@ -1,3 +1,79 @@
-"""Streaming registry keys (filled in by the streaming module)."""
+"""Streaming registry keys: land the derived feed as CSV, run the pipeline.
 
-STREAM_QUERIES: dict = {}
+Each call takes a fresh folder under the shared checkpoint directory for
+landing files, tables and checkpoints, so runs never see each other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from paceline.operators import marts
+from paceline.session import fresh_dir
+from paceline.sources.csv import probe_schema, read_quoted_csv, write_csv
+from paceline.sources.feed import country_lookup, race_feeds
+from paceline.sources.tables import Layers, read_table
+from paceline.streaming import pipeline as P
+
+# The main feed arrives in two drops: events up to this year, then the rest.
+FIRST_DROP_LAST_YEAR = 1997
+
+
+def land_first_drop(spark: SparkSession, layers: Layers, sf_dir: str) -> None:
+    main, second = race_feeds(spark, sf_dir)
+    write_csv(main.filter(F.col("Year of event") <= FIRST_DROP_LAST_YEAR), layers.landing(P.MAIN))
+    write_csv(second, layers.landing(P.SECOND))
+    write_csv(country_lookup(spark, sf_dir), layers.landing(P.COUNTRIES))
+
+
+def land_second_drop(spark: SparkSession, layers: Layers, sf_dir: str) -> None:
+    main, _ = race_feeds(spark, sf_dir)
+    write_csv(main.filter(F.col("Year of event") > FIRST_DROP_LAST_YEAR), layers.landing(P.MAIN))
+
+
+def q_stream_results_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of the main feed, each through bronze; silver once at the end."""
+    layers = Layers(fresh_dir(spark, "stream"))
+    land_first_drop(spark, layers, sf_dir)
+    schemas = P.probe_schemas(spark, layers)
+    P.ingest_all(spark, layers, schemas)
+    land_second_drop(spark, layers, sf_dir)
+    P.ingest_all(spark, layers, schemas)
+    P.refresh_silver(spark, layers)
+    return read_table(spark, layers.table("silver", "results_clean"))
+
+
+def q_refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full DAG twice (second drop in between), then a mart over gold tables."""
+    layers = Layers(fresh_dir(spark, "refresh"))
+    land_first_drop(spark, layers, sf_dir)
+    schemas = P.probe_schemas(spark, layers)
+    P.run_once(spark, layers, schemas)
+    land_second_drop(spark, layers, sf_dir)
+    P.run_once(spark, layers, schemas)
+    return marts.events_per_year(P.gold_star(spark, layers), ordered=True)
+
+
+def q_quoted_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main-feed rows with a quoted, multi-line note, through CSV and back."""
+    main, _ = race_feeds(spark, sf_dir)
+    note = F.concat(F.lit('Finished "'), F.col("Event name"), F.lit('", split\n'),
+                    F.coalesce(F.col("Athlete performance"), F.lit("")))
+    rows = main.select("Athlete ID", "Event name", "Athlete club", "Athlete performance",
+                       note.alias("Note"))
+    path = fresh_dir(spark, "quoted") + "/results"
+    write_csv(rows, path)
+    return read_quoted_csv(spark, path, schema=probe_schema_multiline(spark, path))
+
+
+def probe_schema_multiline(spark: SparkSession, path: str):
+    return (spark.read.option("header", "true").option("inferSchema", "true")
+            .option("multiLine", "true").option("escape", '"').csv(path).schema)
+
+
+STREAM_QUERIES = {
+    "stream_results_clean": q_stream_results_clean,
+    "refresh_marts": q_refresh_marts,
+    "quoted_csv_scan": q_quoted_csv_scan,
+}
