@@ -66,9 +66,20 @@ def _choose(index: Column, values: list[str]) -> Column:
     return expr
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all cores when its scan yields fewer tasks.
+
+    Parquet splits at row-group boundaries, so a small table in one row
+    group is one task, and every per-row expression downstream would run
+    on one core.  At scale (thousands of splits) this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderdate")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_orderdate"))
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         "c_custkey", "c_nationkey")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")

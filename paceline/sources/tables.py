@@ -75,3 +75,20 @@ def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     """Lazy logical views (re-evaluated on every use)."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared scratch folder.
+
+    Used where a relation feeds several branches of one plan (silver under
+    the fact and each dimension): the expensive cleaning runs once, the
+    lineage is cut (a lost executor re-reads files instead of recomputing
+    the chain), and the branches read pruned columns with real statistics
+    for AQE.  Every call takes a new folder; nothing is overwritten.
+    """
+    from paceline.session import fresh_dir
+
+    spark = df.sparkSession
+    path = fresh_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
