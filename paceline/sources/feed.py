@@ -15,7 +15,7 @@ hot customer's partition (skewJoin).  Everything else is row-local.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The raw CSV header of the race-result files (main feed).
@@ -55,17 +55,6 @@ SECOND_FEED_COLUMNS = [
 DISTANCE_TEXTS = ["50km", "100mi", "6h", "24h", "6d", "87km/2Etappen", "42.195km", "Backyard"]
 
 
-def _two_digits(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
-
-
-def _choose(index: Column, values: list[str]) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(index == i, F.lit(v)) if expr is None else expr.when(index == i, F.lit(v))
-    return expr
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over all cores when its scan yields fewer tasks.
 
@@ -77,80 +66,61 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+def _distance_case() -> str:
+    branches = " ".join(f"WHEN {i} THEN '{text}'" for i, text in enumerate(DISTANCE_TEXTS))
+    return f"CASE WHEN k % 101 = 0 THEN NULL ELSE CASE g {branches} END END"
+
+
+# The feed columns as Spark SQL expressions over (k, a, d, y, nk, e, g, gender):
+# one selectExpr keeps the build to a handful of driver round trips.
+_FEED_EXPRESSIONS = [
+    ("Year of event", "y"),
+    ("Event dates", """CASE k % 5
+        WHEN 0 THEN date_format(d, 'yyyy-MM-dd')
+        WHEN 1 THEN date_format(d, 'dd.MM.yyyy')
+        WHEN 2 THEN concat(date_format(d, 'dd'), '.-', date_format(date_add(d, 1), 'dd'), '.',
+                           date_format(d, 'MM.yyyy'))
+        WHEN 3 THEN concat(date_format(d, 'dd.MM.'), '-', date_format(date_add(d, 1), 'dd.MM.yyyy'))
+        ELSE concat('00.00.', date_format(d, 'yyyy')) END"""),
+    ("Event name", """concat('Race ', CAST(e AS STRING),
+        CASE WHEN e % 8 = 7 THEN '' ELSE concat(' (NATION_', CAST(e % 25 AS STRING), ')') END)"""),
+    ("Event distance/length", _distance_case()),
+    ("Event number of finishers", "CAST(100 + e AS INT)"),
+    ("Athlete performance", """CASE
+        WHEN g IN (2, 3) THEN CASE WHEN k % 13 = 0 THEN 'DNF'
+             ELSE concat(CAST(50 + k % 100 AS STRING), '.', CAST(k % 10 AS STRING), ' km') END
+        WHEN k % 13 = 0 THEN ''
+        WHEN k % 13 = 1 THEN '1d 02:03:04 h'
+        WHEN k % 13 = 2 THEN '45:30 h'
+        ELSE concat(CAST(4 + k % 20 AS STRING), ':', lpad(CAST(k * 7 % 60 AS STRING), 2, '0'), ':',
+                    lpad(CAST(k * 11 % 60 AS STRING), 2, '0'), ' h') END"""),
+    ("Athlete club", "CASE WHEN (a + y) % 4 = 0 THEN '  ' ELSE concat('Club ', CAST((a + y) % 11 AS STRING)) END"),
+    ("Athlete country", "concat('NATION_', CAST((nk + y % 2) % 25 AS STRING))"),
+    ("Athlete year of birth", "CASE WHEN a % 13 = 0 THEN NULL ELSE CAST(1940 + a % 60 AS DOUBLE) END"),
+    ("Athlete gender", "gender"),
+    ("Athlete age category", """CASE WHEN a % 13 = 0 THEN NULL
+        ELSE concat(coalesce(gender, 'M'), CAST(floor((y - (1940 + a % 60)) / 5) * 5 AS STRING)) END"""),
+    ("Athlete average speed", """CASE WHEN k % 17 = 0 THEN NULL WHEN k % 17 = 1 THEN '1.234,5'
+        ELSE concat(CAST(6 + k % 9 AS STRING), ',', CAST(k % 1000 AS STRING)) END"""),
+    ("Athlete ID", "a"),
+]
+
+
 def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderdate"))
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        "c_custkey", "c_nationkey")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-
-    k = F.col("o_orderkey")
-    a = F.col("o_custkey")
-    d = F.to_date(F.col("o_orderdate"))
-    base = joined.select(
-        k.alias("k"), a.alias("a"), d.alias("d"),
-        F.year(d).alias("y"), F.col("c_nationkey").alias("nk"),
-        (k % 97).alias("e"),
-    ).withColumn(
-        "g", F.when(F.col("k") % 20 == 0, F.col("e") + 1).otherwise(F.col("e")) % 8)
-
-    k, a, d, y, e, g = (F.col(c) for c in ("k", "a", "d", "y", "e", "g"))
-    next_day = F.date_add(d, 1)
-    event_dates = (
-        F.when(k % 5 == 0, F.date_format(d, "yyyy-MM-dd"))
-        .when(k % 5 == 1, F.date_format(d, "dd.MM.yyyy"))
-        .when(k % 5 == 2, F.concat(F.date_format(d, "dd"), F.lit(".-"),
-                                   F.date_format(next_day, "dd"), F.lit("."),
-                                   F.date_format(d, "MM.yyyy")))
-        .when(k % 5 == 3, F.concat(F.date_format(d, "dd.MM."), F.lit("-"),
-                                   F.date_format(next_day, "dd.MM.yyyy")))
-        .otherwise(F.concat(F.lit("00.00."), F.date_format(d, "yyyy")))
-    )
-    event_name = F.concat(
-        F.lit("Race "), e.cast("string"),
-        F.when(e % 8 == 7, F.lit("")).otherwise(
-            F.concat(F.lit(" (NATION_"), (e % 25).cast("string"), F.lit(")"))))
-    distance = F.when(k % 101 == 0, F.lit(None).cast("string")).otherwise(_choose(g, DISTANCE_TEXTS))
-    km_text = F.concat((50 + k % 100).cast("string"), F.lit("."), (k % 10).cast("string"), F.lit(" km"))
-    time_text = F.concat((4 + k % 20).cast("string"), F.lit(":"), _two_digits(k * 7 % 60),
-                         F.lit(":"), _two_digits(k * 11 % 60), F.lit(" h"))
-    performance = (
-        F.when(g.isin(2, 3), F.when(k % 13 == 0, F.lit("DNF")).otherwise(km_text))
-        .when(k % 13 == 0, F.lit(""))
-        .when(k % 13 == 1, F.lit("1d 02:03:04 h"))
-        .when(k % 13 == 2, F.lit("45:30 h"))
-        .otherwise(time_text)
-    )
-    club = F.when((a + y) % 4 == 0, F.lit("  ")).otherwise(
-        F.concat(F.lit("Club "), ((a + y) % 11).cast("string")))
-    country = F.concat(F.lit("NATION_"), ((F.col("nk") + y % 2) % 25).cast("string"))
-    birth = F.when(a % 13 == 0, F.lit(None).cast("double")).otherwise((1940 + a % 60).cast("double"))
-    gender = (F.when(a % 50 == 49, F.lit(None).cast("string"))
-              .when(a % 50 == 48, F.lit("X"))
-              .when(a % 3 == 0, F.lit("W"))
-              .otherwise(F.lit("M")))
-    age_bucket = (F.floor((y - (1940 + a % 60)) / 5) * 5).cast("string")
-    age_category = F.when(a % 13 == 0, F.lit(None).cast("string")).otherwise(
-        F.concat(F.coalesce(gender, F.lit("M")), age_bucket))
-    speed = (F.when(k % 17 == 0, F.lit(None).cast("string"))
-             .when(k % 17 == 1, F.lit("1.234,5"))
-             .otherwise(F.concat((6 + k % 9).cast("string"), F.lit(","), (k % 1000).cast("string"))))
-
-    return base.select(
-        y.cast("int").alias("Year of event"),
-        event_dates.alias("Event dates"),
-        event_name.alias("Event name"),
-        distance.alias("Event distance/length"),
-        (100 + e).cast("int").alias("Event number of finishers"),
-        performance.alias("Athlete performance"),
-        club.alias("Athlete club"),
-        country.alias("Athlete country"),
-        birth.alias("Athlete year of birth"),
-        gender.alias("Athlete gender"),
-        age_category.alias("Athlete age category"),
-        speed.alias("Athlete average speed"),
-        a.alias("Athlete ID"),
+    keys = joined.selectExpr(
+        "o_orderkey AS k", "o_custkey AS a", "to_date(o_orderdate) AS d",
+        "year(to_date(o_orderdate)) AS y", "c_nationkey AS nk", "o_orderkey % 97 AS e",
+    ).selectExpr(
+        "*",
+        "(CASE WHEN k % 20 = 0 THEN e + 1 ELSE e END) % 8 AS g",
+        "CASE WHEN a % 50 = 49 THEN NULL WHEN a % 50 = 48 THEN 'X' "
+        "WHEN a % 3 = 0 THEN 'W' ELSE 'M' END AS gender",
     )
+    return keys.selectExpr(*[f"{expr} AS `{name}`" for name, expr in _FEED_EXPRESSIONS])
 
 
 def race_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
