@@ -49,3 +49,52 @@ def enrich_country_name(df: DataFrame, countries: DataFrame, key: str, name_as:
     return (df.join(lk, df[key] == lk["country_code"], "left")
             .drop("country_code")
             .withColumnRenamed("country_name", name_as))
+
+
+# A join key with more rows than this is split over several tasks.  At most
+# total_rows / HOT_KEY_ROWS keys can exceed it, which bounds the hot-key table.
+HOT_KEY_ROWS = 5_000_000
+MAX_HOT_KEYS = 100_000
+
+
+def hot_keys(counts_from: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Keys holding more than ``hot_rows`` rows, with a bucket count each.
+
+    Two-phase aggregate over the key column only; the bucket count grows
+    with the key's rows so every bucket holds about ``hot_rows`` rows.
+    """
+    n = F.count(F.lit(1))
+    return (counts_from.groupBy(key).agg(n.alias("_n"))
+            .filter(F.col("_n") > hot_rows)
+            .select(key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_buckets")))
+
+
+def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+                   counts_from: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Equi-join ``big`` to a one-row-per-key ``small`` with hot keys salted.
+
+    Rows of a hot key get a salt from a hash of the whole row (stable under
+    task retries, unlike a random salt) in [0, buckets); that key's single
+    row in ``small`` is replicated once per bucket.  Cold keys keep salt 0,
+    so their join is unchanged.  The hot-key table is written once (it is
+    tiny) and broadcast only after its size is checked; without it the
+    plain join is left to AQE's skew splitting.  ``counts_from`` lets the
+    hot keys be counted on a narrow relation (e.g. the fact's key column).
+    """
+    from paceline.sources.tables import materialize
+
+    hot = materialize(hot_keys(counts_from if counts_from is not None else big, key, hot_rows), "hot-keys")
+    if not fits_broadcast(hot, MAX_HOT_KEYS):
+        return big.join(small, key, how)
+    hot = F.broadcast(hot)
+    buckets = F.col("_buckets")
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    big_salted = (big.join(hot, key, "left")
+                  .withColumn("_salt", F.when(buckets.isNull(), F.lit(0))
+                              .otherwise(F.pmod(row_hash, buckets).cast("int")))
+                  .drop("_buckets"))
+    small_salted = (small.join(hot, key, "left")
+                    .withColumn("_salt", F.explode(F.when(buckets.isNull(), F.array(F.lit(0)))
+                                                   .otherwise(F.sequence(F.lit(0), buckets - 1))))
+                    .drop("_buckets"))
+    return big_salted.join(small_salted, [key, "_salt"], how).drop("_salt")
