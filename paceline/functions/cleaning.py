@@ -2,7 +2,7 @@
 
 All are built-in Spark expressions (whole-stage codegen, no Python at run
 time) and safe under ANSI mode: text is only ever converted with
-``try_cast`` / ``try_to_date``, array items are read with ``get``.
+``try_cast`` or after a shape check, array items are read with ``get``.
 """
 
 from __future__ import annotations
@@ -101,20 +101,35 @@ def blank_to_null(text: Column) -> Column:
     return F.when(F.trim(text) == "", F.lit(None).cast("string")).otherwise(text)
 
 
+def _calendar_date(year: Column, month: Column, day: Column) -> Column:
+    """The date of digit-only parts, or null when it is not a calendar day.
+
+    Same result as parsing 'dd.MM.yyyy' with try_to_date, but checked
+    arithmetically: no parse exception per bad row ("00.00.1989",
+    "31.02.2020"), which under try_to_date costs more than all the regex
+    work of the row.  ``&`` short-circuits, so make_date only ever sees a
+    valid month, and the final make_date a valid day.
+    """
+    y, m, d = (c.cast("int") for c in (year, month, day))
+    month_ok = (y >= 0) & (m >= 1) & (m <= 12)
+    day_ok = (d >= 1) & (d <= F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1)))))
+    return F.when(month_ok & day_ok, F.make_date(y, m, d))
+
+
 def event_start_date(dates: Column) -> Column:
     """C11: first day of the event from four text shapes, else null.
 
     Span shapes take month/year (or year) from the END of the text, so a
     span across New Year gets the later year.  Impossible dates are null.
+    The shape regex fixes every digit position, so parts are substrings.
     """
-    day_span = F.concat(F.regexp_extract(dates, r"^(\d{2})", 1), F.lit("."),
-                        F.regexp_extract(dates, r"\.(\d{2}\.\d{4})$", 1))
-    day_month_span = F.concat(F.regexp_extract(dates, r"^(\d{2}\.\d{2}\.)", 1),
-                              F.regexp_extract(dates, r"(\d{4})$", 1))
-    return (F.when(dates.rlike(ISO_DATE), F.try_to_date(dates, "yyyy-MM-dd"))
-            .when(dates.rlike(DOTTED_DATE), F.try_to_date(dates, "dd.MM.yyyy"))
-            .when(dates.rlike(DAY_SPAN), F.try_to_date(day_span, "dd.MM.yyyy"))
-            .when(dates.rlike(DAY_MONTH_SPAN), F.try_to_date(day_month_span, "dd.MM.yyyy")))
+    def part(pos: int, length: int) -> Column:
+        return F.substring(dates, pos, length)
+
+    return (F.when(dates.rlike(ISO_DATE), _calendar_date(part(1, 4), part(6, 2), part(9, 2)))
+            .when(dates.rlike(DOTTED_DATE), _calendar_date(part(7, 4), part(4, 2), part(1, 2)))
+            .when(dates.rlike(DAY_SPAN), _calendar_date(part(11, 4), part(8, 2), part(1, 2)))
+            .when(dates.rlike(DAY_MONTH_SPAN), _calendar_date(part(14, 4), part(4, 2), part(1, 2))))
 
 
 def gender_code(gender: Column) -> Column:

@@ -66,10 +66,12 @@ def test_speed(spark):
 
 def test_start_date_shapes(spark):
     vals = ["1991-05-01", "06.01.2018", "23.-24.11.1991", "30.04.-01.05.2016",
-            "31.12.-01.01.1996", "00.00.1989", "31.02.2020", "May 1991", None]
+            "31.12.-01.01.1996", "00.00.1989", "31.02.2020", "May 1991", None,
+            "29.02.2020", "29.02.2019", "32.01.2020", "15.13.2020", "00.01.2020"]
     got = one_col(spark, vals, C.event_start_date)
     assert got == [dt.date(1991, 5, 1), dt.date(2018, 1, 6), dt.date(1991, 11, 23),
-                   dt.date(2016, 4, 30), dt.date(1996, 12, 31), None, None, None, None]
+                   dt.date(2016, 4, 30), dt.date(1996, 12, 31), None, None, None, None,
+                   dt.date(2020, 2, 29), None, None, None, None]
 
 
 def test_gender(spark):
