@@ -49,7 +49,13 @@ def scratch_root(spark: SparkSession) -> str:
     Uses the folder the cluster names in ``spark.checkpoint.dir``.  Only a
     local-mode session without that setting (tests) gets a folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- remote sessions expose only the SQL conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")

@@ -62,8 +62,12 @@ def spread(df: DataFrame) -> DataFrame:
     group is one task, and every per-row expression downstream would run
     on one core.  At scale (thousands of splits) this is a no-op.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- sessions without RDD access: leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def _distance_case() -> str:
