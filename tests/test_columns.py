@@ -150,3 +150,12 @@ def test_parse_keeps_every_row(spark):
     rows = [raw_row("6d", "500 km"), raw_row(None, None)]
     raw = spark.createDataFrame(rows, RAW_DDL)
     assert parse_results(raw).count() == 2
+
+
+def test_lookup_join_drop_code_and_rename(spark):
+    from paceline.operators.joins import enrich_country_name
+    df = spark.createDataFrame([(1, "SWE"), (2, "XXX"), (3, None)], "id int, athlete_country string")
+    lk = spark.createDataFrame([("SWE", "Sweden")], "country_code string, country_name string")
+    out = enrich_country_name(df, lk, "athlete_country", "athlete_country_name")
+    assert out.columns == ["id", "athlete_country", "athlete_country_name"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "SWE", "Sweden"), (2, "XXX", None), (3, None, None)]
