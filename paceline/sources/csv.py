@@ -13,17 +13,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 # Bounded micro-batches: each availableNow batch takes at most this many
 # new files, so a backlog of thousands of files never lands in one batch.
 MAX_FILES_PER_TRIGGER = 1000
 
 
-def probe_schema(spark: SparkSession, path: str) -> StructType:
-    """Infer the CSV schema once (header + inferSchema)."""
+# Files read by a schema probe: inference is a full pass over what it reads.
+PROBE_MAX_FILES = 8
+
+
+def widen(schema: StructType) -> StructType:
+    """Integer columns as bigint: a probe sees a sample, later files may hold
+    values past 2^31 that a pinned int would turn into nulls."""
+    return StructType([StructField(f.name, LongType() if isinstance(f.dataType, IntegerType) else f.dataType,
+                                   f.nullable) for f in schema.fields])
+
+
+def probe_schema(spark: SparkSession, path: str, max_files: int | None = None) -> StructType:
+    """Infer the CSV schema once (header + inferSchema).
+
+    With ``max_files`` only that many files (in name order) are read.
+    """
+    paths: str | list[str] = path
+    if max_files is not None:
+        files = sorted(f for f in spark.read.text(path).inputFiles() if f.endswith(".csv"))
+        paths = files[:max_files] or path
     return (spark.read.option("header", "true").option("inferSchema", "true")
-            .option("encoding", "UTF-8").csv(path).schema)
+            .option("encoding", "UTF-8").csv(paths).schema)
 
 
 def stream_csv(spark: SparkSession, path: str, schema: StructType,

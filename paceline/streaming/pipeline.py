@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from paceline.operators.clean import clean, union_feeds
 from paceline.operators.model import dim_athlete, dim_date, dim_event, fct_results, StarSchema
-from paceline.sources.csv import probe_schema, stream_csv
+from paceline.sources.csv import PROBE_MAX_FILES, probe_schema, stream_csv, widen
 from paceline.sources.tables import Layers, append_available, overwrite, read_table, stream_table
 
 MAIN, SECOND, COUNTRIES = "raw_results", "raw_second_results", "raw_country_code"
@@ -38,9 +38,10 @@ def ingest_all(spark: SparkSession, layers: Layers, schemas: dict[str, StructTyp
 
 def probe_schemas(spark: SparkSession, layers: Layers, probe_paths: dict[str, str] | None = None
                   ) -> dict[str, StructType]:
-    """S1 for every source, from the given sample paths (default: landing)."""
+    """S1 for every source: a bounded sample of landed files, integers widened."""
     probe_paths = probe_paths or {}
-    return {s: probe_schema(spark, probe_paths.get(s, layers.landing(s))) for s in (MAIN, SECOND, COUNTRIES)}
+    return {s: widen(probe_schema(spark, probe_paths.get(s, layers.landing(s)), max_files=PROBE_MAX_FILES))
+            for s in (MAIN, SECOND, COUNTRIES)}
 
 
 def silver_stream(spark: SparkSession, layers: Layers) -> DataFrame:
