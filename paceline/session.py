@@ -23,10 +23,6 @@ SESSION_DEFAULTS = {
     # falls back to compiled per-operator code instead of interpreting a
     # huge generated method (measured 2-3x faster on the silver stage).
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Cleaning costs ~30 us of CPU per row, and compressed bronze packs ~8 M
-    # rows into a default 128 MB split: half-size splits keep tasks near two
-    # minutes, so a lost executor costs little rework.
-    "spark.sql.files.maxPartitionBytes": "64m",
 }
 
 
