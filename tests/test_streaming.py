@@ -51,3 +51,15 @@ def test_quoted_csv_round_trip(spark):
     write_csv(df, path)
     back = read_quoted_csv(spark, path, schema=df.schema).orderBy("id").collect()
     assert [tuple(r) for r in back] == rows
+
+
+def test_schema_probe_is_bounded_and_widened(spark):
+    from pyspark.sql.types import LongType
+
+    from paceline.sources.csv import probe_schema, widen
+    path = fresh_dir(spark, "test-probe") + "/t"
+    df = spark.range(0, 30).selectExpr("CAST(id AS INT) AS `Athlete ID`", "CAST(id AS STRING) AS name")
+    write_csv(df.repartition(3), path)
+    one_file = probe_schema(spark, path, max_files=1)
+    assert [f.name for f in one_file.fields] == ["Athlete ID", "name"]
+    assert isinstance(widen(one_file)["Athlete ID"].dataType, LongType)
