@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,14 +71,3 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, never reused folder under the scratch root."""
     root = scratch_root(spark)
     return f"{root}/paceline/{label}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> str:
-    p = local_path(path)
-    os.makedirs(p, exist_ok=True)
-    return p

@@ -63,3 +63,7 @@ def test_schema_probe_is_bounded_and_widened(spark):
     one_file = probe_schema(spark, path, max_files=1)
     assert [f.name for f in one_file.fields] == ["Athlete ID", "name"]
     assert isinstance(widen(one_file)["Athlete ID"].dataType, LongType)
+
+    from paceline.sources.csv import stream_csv_inferred       # S3 = S1 + S2
+    stream = stream_csv_inferred(spark, path)
+    assert stream.isStreaming and stream.columns == ["Athlete ID", "name"]
