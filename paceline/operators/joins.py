@@ -51,6 +51,11 @@ def enrich_country_name(df: DataFrame, countries: DataFrame, key: str, name_as:
             .withColumnRenamed("country_name", name_as))
 
 
+# A one-row-per-key side with at most this many rows (a few narrow columns,
+# ~100-200 MB) is broadcast: the big side is then never shuffled, and a
+# broadcast join cannot skew.
+DIM_BROADCAST_MAX_ROWS = 1_000_000
+
 # A join key with more rows than this is split over several tasks.  At most
 # total_rows / HOT_KEY_ROWS keys can exceed it, which bounds the hot-key table.
 HOT_KEY_ROWS = 5_000_000
@@ -70,9 +75,13 @@ def hot_keys(counts_from: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) ->
 
 
 def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-                   counts_from: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                   counts_from: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS,
+                   broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """Equi-join ``big`` to a one-row-per-key ``small`` with hot keys salted.
 
+    A ``small`` proven to hold at most ``broadcast_rows`` rows is simply
+    broadcast (no shuffle of ``big``, nothing to salt).  Otherwise:
+
     Rows of a hot key get a salt from a hash of the whole row (stable under
     task retries, unlike a random salt) in [0, buckets); that key's single
     row in ``small`` is replicated once per bucket.  Cold keys keep salt 0,
@@ -83,6 +92,8 @@ def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner
     """
     from paceline.sources.tables import materialize
 
+    if broadcast_rows > 0 and fits_broadcast(small, broadcast_rows):
+        return big.join(F.broadcast(small), key, how)
     hot = materialize(hot_keys(counts_from if counts_from is not None else big, key, hot_rows), "hot-keys")
     if not fits_broadcast(hot, MAX_HOT_KEYS):
         return big.join(small, key, how)

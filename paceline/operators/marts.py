@@ -8,9 +8,10 @@ single row, and the dimension join that follows sees far fewer rows.  The
 join strategy itself is left to AQE, which measures both sides at runtime
 (broadcast when small, sort-merge with skew splitting otherwise).
 
-The views (R6, R7) must return every fact row, so they join at row level:
-hot keys (more rows than HOT_KEY_ROWS) are salted over several tasks with
-``skew_safe_join``; the dimension filter (unit) is applied before joining.
+The views (R6, R7) must return every fact row, so they join at row level
+with ``skew_safe_join``: a dimension proven small is broadcast (the fact is
+not shuffled), a large one is joined with its hot keys (more rows than
+HOT_KEY_ROWS) salted over several tasks.  The unit filter applies first.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.operators.joins import HOT_KEY_ROWS, skew_safe_join
+from paceline.operators.joins import DIM_BROADCAST_MAX_ROWS, HOT_KEY_ROWS, skew_safe_join
 from paceline.operators.model import StarSchema
 
 DISTANCE_VIEW_COLUMNS = [
@@ -42,31 +43,34 @@ _VIEW_EVENT_COLUMNS = ["event_id", "event_name_clean", "event_distance_length",
 
 
 def _race_view(star: StarSchema, fact_cols: list[str], unit_filter, out_cols: list[str],
-               hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+               hot_rows: int = HOT_KEY_ROWS, broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     events = star.events.select(*_VIEW_EVENT_COLUMNS).filter(unit_filter)
     athletes = star.athletes.select(*_VIEW_ATHLETE_COLUMNS)
     fact = star.fact.select(*fact_cols)
     with_events = skew_safe_join(fact, events, "event_id", counts_from=star.fact.select("event_id"),
-                                 hot_rows=hot_rows)
+                                 hot_rows=hot_rows, broadcast_rows=broadcast_rows)
     joined = skew_safe_join(with_events, athletes, "athlete_id",
-                            counts_from=star.fact.select("athlete_id"), hot_rows=hot_rows)
+                            counts_from=star.fact.select("athlete_id"), hot_rows=hot_rows,
+                            broadcast_rows=broadcast_rows)
     return joined.select(*out_cols)
 
 
-def distance_races(star: StarSchema, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def distance_races(star: StarSchema, hot_rows: int = HOT_KEY_ROWS,
+              broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """Results of events whose (dimension) unit is km or mi."""
     return _race_view(
         star, ["event_id", "athlete_id", "year_of_event", "event_start_date",
                "performance_hours", "event_number_of_finishers"],
-        F.col("event_unit").isin("km", "mi"), DISTANCE_VIEW_COLUMNS, hot_rows)
+        F.col("event_unit").isin("km", "mi"), DISTANCE_VIEW_COLUMNS, hot_rows, broadcast_rows)
 
 
-def time_races(star: StarSchema, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def time_races(star: StarSchema, hot_rows: int = HOT_KEY_ROWS,
+              broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """Results of events whose (dimension) unit is h."""
     return _race_view(
         star, ["event_id", "athlete_id", "year_of_event", "event_start_date",
                "performance_km", "athlete_avg_speed_kmh", "event_number_of_finishers"],
-        F.col("event_unit") == "h", TIME_VIEW_COLUMNS, hot_rows)
+        F.col("event_unit") == "h", TIME_VIEW_COLUMNS, hot_rows, broadcast_rows)
 
 
 def _share_pct(count_col: str) -> F.Column:
