@@ -38,7 +38,8 @@ BASE_CELLS = 3          # cells a table in the published fingerprint
 LEAST_CELLS = 8         # cells a table when comparing
 CELLS_PER_DIGEST = 0.55  # a table, of the digests of both texts together
 PASSES = 6
-ROWS_PER_RANGE = 4000
+ROWS_PER_RANGE = 250
+MAX_RANGES = 100_000    # bounds the numbers that the driver holds
 _CUT = rf"\n|(?<=[.!?|*#$%&]){SPACE_CLASS}+"
 _LOWEST = -(1 << 63)
 
@@ -84,21 +85,27 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
         (coarse - 1) * step + F.size(F.filter(inner, lambda b: b <= key)))
 
 
-def with_successor(docs: DataFrame) -> DataFrame:
-    """(range, rid, doc_id, text, next_text): ``rid`` numbers a range's rows."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, key, tie): the documents' order is by key and tie, descending."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST))
-    ids = docs.select(key.alias("key"))
+    return docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("key"),
+                       F.xxhash64(text).alias("tie"))
+
+
+def with_successor(docs: DataFrame) -> DataFrame:
+    """(range, rid, doc_id, text, next_text, own and next (key, tie));
+    ``rid`` numbers a range's rows."""
+    keyed = _keyed(docs)
+    ids = keyed.select("key")
     rows = ids.count()
-    parts = rows // ROWS_PER_RANGE
+    parts = min(rows // ROWS_PER_RANGE, MAX_RANGES)
     bounds: list[int] = []
     if parts:
         # one number for every ROWS_PER_RANGE rows
         cuts = [i / (parts + 1) for i in range(1, parts + 1)]
         bounds = sorted(set(ids.approxQuantile("key", cuts, 0.2 / (parts + 1))))
         bounds = [int(b) for b in bounds]
-    keyed = docs.select("doc_id", text.alias("text"), key.alias("key"), F.xxhash64(text).alias("tie"),
-                        _range_of(key, bounds).alias("range"))
+    keyed = keyed.withColumn("range", _range_of(F.col("key"), bounds))
     # the first row of each range, narrow: (range, key, tie)
     heads = (keyed.select("range", "key", "tie").groupBy("range")
              .agg(F.max(F.struct("key", "tie")).alias("head")).select("range", "head.key", "head.tie"))
@@ -111,9 +118,22 @@ def with_successor(docs: DataFrame) -> DataFrame:
         guests = (keyed.join(wanted, ["key", "tie"]).dropDuplicates(["host", "key", "tie"])
                   .select("doc_id", "text", "key", "tie", F.col("host").alias("range"), F.lit(True).alias("guest")))
         home = home.unionByName(guests)
+    # a partition for every range or two keeps the sketches of a task in memory
+    home = home.repartition(max(1, len(order)), "range")
     w = Window.partitionBy("range").orderBy("guest", F.desc("key"), F.desc("tie"))
-    return (home.withColumn("next_text", F.lead("text").over(w)).withColumn("rid", F.row_number().over(w))
-            .filter("not guest").select("range", "rid", "doc_id", "text", "next_text"))
+    following = {f"next_{c}": F.lead(c).over(w) for c in ("text", "key", "tie")}
+    return home.withColumns(following | {"rid": F.row_number().over(w)}).filter("not guest").drop("guest")
+
+
+def successors_of(docs: DataFrame, few: DataFrame) -> DataFrame:
+    """(range, rid, doc_id, text, next_text) of the rows of ``few``, which
+    carry both (key, tie) pairs: no text moves while ``few`` is small."""
+    keyed = _keyed(docs)
+    own = few.select("range", "rid", "key", "tie", "next_key", "next_tie").join(
+        keyed, ["key", "tie"]).dropDuplicates(["range", "rid"])
+    after = few.select("range", "rid", F.col("next_key").alias("key"), F.col("next_tie").alias("tie")).join(
+        keyed.select("key", "tie", F.col("text").alias("next_text")), ["key", "tie"]).dropDuplicates(["range", "rid"])
+    return own.select("range", "rid", "doc_id", "text").join(after.select("range", "rid", "next_text"), ["range", "rid"])
 
 
 def edited_text(text: Column, successor: Column) -> Column:
@@ -181,8 +201,10 @@ def compare_neighbours(docs: DataFrame, cells_per_digest: float = CELLS_PER_DIGE
                        attempts: int = 20) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next) of every row."""
-    around = with_successor(docs)
-    edited = around.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
+    def edit(around: DataFrame) -> DataFrame:
+        return around.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
+
+    edited = edit(with_successor(docs))
 
     def peeled(rows: DataFrame, factor: int) -> DataFrame:
         """One row a document: results against the edited and the next text."""
@@ -197,7 +219,7 @@ def compare_neighbours(docs: DataFrame, cells_per_digest: float = CELLS_PER_DIGE
             F.max("left").alias("left")).drop("doc_id")
 
     about = edited.select(
-        "range", "rid", "doc_id", F.length("text").cast("long").alias("n_chars"),
+        "range", "rid", "key", "tie", "next_key", "next_tie", "doc_id", F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         let(digests(F.col("text")), lambda k: fingerprint(k)).alias("fingerprint"),
         let(digests(F.col("edited")), lambda k: fingerprint(k)).alias("edited_fingerprint"))
@@ -207,11 +229,11 @@ def compare_neighbours(docs: DataFrame, cells_per_digest: float = CELLS_PER_DIGE
     for attempt in range(1, attempts + 1):
         if open_.isEmpty():
             break
-        again = edited.join(open_.select("range", "rid"), ["range", "rid"], "left_semi")
+        again = edit(successors_of(docs, open_))
         next_ = spool(open_.drop("near_edited", "near_next", "left").join(peeled(again, 2 ** attempt), ["range", "rid"])
                       .select(*columns), "iblt")
         done, open_ = done.unionByName(next_.filter("left = 0")), next_.filter("left > 0")
     else:
         if not open_.isEmpty():
             raise RuntimeError("sketches that cannot be peeled")
-    return done.drop("range", "rid", "left")
+    return done.drop("range", "rid", "key", "tie", "next_key", "next_tie", "left")
