@@ -108,7 +108,8 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     keyed = fps.select("fp", F.explode(F.array(*tables)).alias("t")).select("fp", "t.v", "t.k")
     full = (keyed.groupBy("v", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
             .withColumn("blocks", F.ceil(F.col("n") / block).cast("int")))
-    member = (keyed.join(full, ["v", "k"])
+    # the planner takes ``keyed`` for as small as ``fps`` and would broadcast it
+    member = (keyed.hint("merge").join(full, ["v", "k"])
               .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("v", "k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp"))
