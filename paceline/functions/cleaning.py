@@ -18,10 +18,10 @@ LEADING_NUMBER = r"^([\d.]+)"
 LEADING_TIME = r"^([\d:\.]+)"
 TRAILING_PAREN = r"\(([^)]+)\)$"
 TRAILING_PAREN_WITH_SPACE = r"\s*\([^)]+\)$"
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-DOTTED_DATE = r"^\d{2}\.\d{2}\.\d{4}$"
-DAY_SPAN = r"^\d{2}\.-\d{2}\.\d{2}\.\d{4}$"
-DAY_MONTH_SPAN = r"^\d{2}\.\d{2}\.-\d{2}\.\d{2}\.\d{4}$"
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
+DOTTED_DATE = r"^\d{2}\.\d{2}\.\d{4}\z"
+DAY_SPAN = r"^\d{2}\.-\d{2}\.\d{2}\.\d{4}\z"
+DAY_MONTH_SPAN = r"^\d{2}\.\d{2}\.-\d{2}\.\d{2}\.\d{4}\z"
 LOOSE_DAY_SPAN = r"\d{2}\.-\d{2}\.\d{2}\.\d{4}"  # shape label only, unanchored
 EVENT_TYPES = ("multi_stage", "time_based", "distance_based", "unknown")
 GENDER_LABELS = {"F": "female", "M": "male", "X": "other"}

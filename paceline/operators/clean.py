@@ -24,9 +24,13 @@ KEPT_RAW_TYPES = {
     "athlete_year_of_birth": "double",
     "athlete_gender": "string",
     "athlete_age_category": "string",
-    "athlete_id": "bigint",
+    "athlete_id": None,       # stays what it is, unless the caller gives a type
 }
 
+# Raw columns that cleaning reads; others are carried along.
+RAW_COLUMNS = [*KEPT_RAW_TYPES, "event_distance_length", "event_dates", "event_name", "athlete_performance",
+               "athlete_average_speed"]
+
 SILVER_COLUMNS = [
     "year_of_event", "event_number_of_finishers", "athlete_club", "athlete_country",
     "athlete_year_of_birth", "athlete_gender", "athlete_age_category", "athlete_id",
@@ -43,22 +47,37 @@ def union_feeds(main: DataFrame, second: DataFrame) -> DataFrame:
     return normalise_columns(main).unionByName(normalise_columns(second), allowMissingColumns=True)
 
 
-def parse_results(raw: DataFrame) -> DataFrame:
-    """C1-C13 on normalised raw rows, before any filter or join.
+def typed(column: str, source: str, target: str | None) -> F.Column:
+    """A raw column in its silver type; text that does not fit becomes null,
+    and whole numbers written with decimals ("2018.0") are read as numbers."""
+    col = F.col(f"`{column}`")
+    if target is None:
+        return col
+    if source == "string" and target in ("int", "bigint"):
+        return F.coalesce(col.try_cast(target), col.try_cast("double").try_cast(target))
+    return col.try_cast(target)
+
+
+def parse_results(raw: DataFrame, id_type: str | None = None) -> DataFrame:
+    """C1-C13 on normalised raw rows, before any filter or join.  Missing raw
+    columns are null, further ones are carried along.
 
     Two projections: the first binds the performance split once so the
     hour arithmetic does not re-split the text per branch.
     """
     if "event_distance/length" in raw.columns:          # D5: rename at once
         raw = raw.withColumnRenamed("event_distance/length", "event_distance_length")
-    if "athlete_club" not in raw.columns:
-        raw = raw.withColumn("athlete_club", F.lit(None).cast("string"))
+    for missing in [c for c in RAW_COLUMNS if c not in raw.columns]:
+        raw = raw.withColumn(missing, F.lit(None).cast("string"))
 
     dist = F.col("event_distance_length")
-    kept = [F.col(c).try_cast(t).alias(c) for c, t in KEPT_RAW_TYPES.items()
-            if c not in ("athlete_club", "athlete_gender")]
+    source = dict(raw.dtypes)
+    targets = KEPT_RAW_TYPES | {"athlete_id": id_type}
+    kept = [typed(c, source[c], t).alias(c) for c, t in targets.items() if c not in ("athlete_club", "athlete_gender")]
+    extra = [F.col(f"`{c}`") for c in extra_columns(raw)]
     stage1 = raw.select(
         *kept,
+        *extra,
         F.col("event_distance_length"),
         F.col("event_dates"),
         F.col("event_name"),
@@ -89,6 +108,11 @@ def parse_results(raw: DataFrame) -> DataFrame:
     ).drop("_time_parts")
 
 
+def extra_columns(raw: DataFrame) -> list[str]:
+    """Source columns that cleaning neither reads nor makes itself."""
+    return [c for c in raw.columns if c not in {*RAW_COLUMNS, *SILVER_COLUMNS, "event_distance/length"}]
+
+
 def day_race_filter() -> F.Column:
     """drop multi-day races ("6d"); null distances drop too (3-valued)."""
     return ~F.col("event_distance_length").rlike(C.DAYS_PATTERN)
@@ -101,13 +125,15 @@ def validity_filter() -> F.Column:
             & ~((unit == "h") & F.col("performance_km").isNull()))
 
 
-def clean(raw: DataFrame, countries: DataFrame) -> DataFrame:
-    """Normalised raw rows + country lookup -> silver rows (SILVER_COLUMNS)."""
-    parsed = parse_results(raw).filter(day_race_filter()).filter(validity_filter())
+def clean(raw: DataFrame, countries: DataFrame, id_type: str | None = None) -> DataFrame:
+    """Normalised raw rows + country lookup -> silver rows (SILVER_COLUMNS,
+    then the source's further columns)."""
+    parsed = parse_results(raw, id_type).filter(day_race_filter()).filter(validity_filter())
     lookup = maybe_broadcast(countries.select("country_code", "country_name"))
     enriched = enrich_country(parsed, lookup, "athlete_country", "athlete")
     enriched = enrich_country(enriched, lookup, "event_country", "event")
     return enriched.select(
         *[c for c in SILVER_COLUMNS if c != "event_id"],
         C.sha256_hex(F.col("event_name_clean")).alias("event_id"),
+        *[F.col(f"`{c}`") for c in extra_columns(raw)],
     )

@@ -1,10 +1,10 @@
 """Lookup joins J1-J3 with a checked broadcast.
 
-A lookup is broadcast only after a bounded count proves it small
-(``limit(max_rows + 1).count()`` reads at most max_rows + 1 rows).  Beyond
-the bound the join is left to the planner (sort-merge, or AQE's runtime
-broadcast from measured sizes).  Streaming queries run without AQE, so
-this explicit check is what keeps the stream-static join shuffle-free.
+A side is broadcast only after its bytes are measured (``fits_broadcast``: one
+two-phase sum over its rows).  Beyond the bound the join is left to the planner
+(sort-merge, or AQE's runtime broadcast from measured sizes).  Streaming
+queries run without AQE, so this explicit check is what keeps the
+stream-static join shuffle-free.
 """
 
 from __future__ import annotations
@@ -12,17 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# ~100k codes x two short strings stays far below executor memory.
-LOOKUP_BROADCAST_MAX_ROWS = 100_000
+# What a broadcast side may take in the memory of every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_BYTES = 64  # a row's share of the hash table besides its values
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded count)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when the rows of ``df`` take at most ``max_bytes``.  The sum is
+    partial in every task; no task sees more than its own rows.  It computes
+    ``df``: pass a table, not a long plan."""
+    size = F.lit(_ROW_BYTES)
+    for name, kind in df.dtypes:
+        size = size + (F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
+    return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def role_lookup(countries: DataFrame, role: str) -> DataFrame:
@@ -51,15 +57,9 @@ def enrich_country_name(df: DataFrame, countries: DataFrame, key: str, name_as:
             .withColumnRenamed("country_name", name_as))
 
 
-# A one-row-per-key side with at most this many rows (a few narrow columns,
-# ~100-200 MB) is broadcast: the big side is then never shuffled, and a
-# broadcast join cannot skew.
-DIM_BROADCAST_MAX_ROWS = 1_000_000
-
 # A join key with more rows than this is split over several tasks.  At most
 # total_rows / HOT_KEY_ROWS keys can exceed it, which bounds the hot-key table.
 HOT_KEY_ROWS = 5_000_000
-MAX_HOT_KEYS = 100_000
 
 
 def hot_keys(counts_from: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -76,28 +76,27 @@ def hot_keys(counts_from: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) ->
 
 def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
                    counts_from: DataFrame | None = None, hot_rows: int = HOT_KEY_ROWS,
-                   broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Equi-join ``big`` to a one-row-per-key ``small`` with hot keys salted.
 
-    A ``small`` proven to hold at most ``broadcast_rows`` rows is simply
+    ``small`` is written once.  If it takes at most ``broadcast_bytes`` it is
     broadcast (no shuffle of ``big``, nothing to salt).  Otherwise:
 
     Rows of a hot key get a salt from a hash of the whole row (stable under
     task retries, unlike a random salt) in [0, buckets); that key's single
     row in ``small`` is replicated once per bucket.  Cold keys keep salt 0,
-    so their join is unchanged.  The hot-key table is written once (it is
-    tiny) and broadcast only after its size is checked; without it the
-    plain join is left to AQE's skew splitting.  ``counts_from`` lets the
-    hot keys be counted on a narrow relation (e.g. the fact's key column).
+    so their join is unchanged.  The hot-key table is written once and
+    broadcast only if it is small; salting holds either way.
+    ``counts_from`` lets the hot keys be counted on a narrow relation (e.g.
+    the fact's key column).
     """
     from paceline.sources.tables import materialize
 
-    if broadcast_rows > 0 and fits_broadcast(small, broadcast_rows):
+    small = materialize(small, "join-side")
+    if broadcast_bytes > 0 and fits_broadcast(small, broadcast_bytes):
         return big.join(F.broadcast(small), key, how)
     hot = materialize(hot_keys(counts_from if counts_from is not None else big, key, hot_rows), "hot-keys")
-    if not fits_broadcast(hot, MAX_HOT_KEYS):
-        return big.join(small, key, how)
-    hot = F.broadcast(hot)
+    hot = maybe_broadcast(hot)
     buckets = F.col("_buckets")
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
     big_salted = (big.join(hot, key, "left")

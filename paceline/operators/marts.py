@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.operators.joins import DIM_BROADCAST_MAX_ROWS, HOT_KEY_ROWS, skew_safe_join
+from paceline.operators.joins import BROADCAST_BYTES, HOT_KEY_ROWS, skew_safe_join
 from paceline.operators.model import StarSchema
 
 DISTANCE_VIEW_COLUMNS = [
@@ -43,34 +43,34 @@ _VIEW_EVENT_COLUMNS = ["event_id", "event_name_clean", "event_distance_length",
 
 
 def _race_view(star: StarSchema, fact_cols: list[str], unit_filter, out_cols: list[str],
-               hot_rows: int = HOT_KEY_ROWS, broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+               hot_rows: int = HOT_KEY_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     events = star.events.select(*_VIEW_EVENT_COLUMNS).filter(unit_filter)
     athletes = star.athletes.select(*_VIEW_ATHLETE_COLUMNS)
     fact = star.fact.select(*fact_cols)
     with_events = skew_safe_join(fact, events, "event_id", counts_from=star.fact.select("event_id"),
-                                 hot_rows=hot_rows, broadcast_rows=broadcast_rows)
+                                 hot_rows=hot_rows, broadcast_bytes=broadcast_bytes)
     joined = skew_safe_join(with_events, athletes, "athlete_id",
                             counts_from=star.fact.select("athlete_id"), hot_rows=hot_rows,
-                            broadcast_rows=broadcast_rows)
+                            broadcast_bytes=broadcast_bytes)
     return joined.select(*out_cols)
 
 
 def distance_races(star: StarSchema, hot_rows: int = HOT_KEY_ROWS,
-              broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+              broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Results of events whose (dimension) unit is km or mi."""
     return _race_view(
         star, ["event_id", "athlete_id", "year_of_event", "event_start_date",
                "performance_hours", "event_number_of_finishers"],
-        F.col("event_unit").isin("km", "mi"), DISTANCE_VIEW_COLUMNS, hot_rows, broadcast_rows)
+        F.col("event_unit").isin("km", "mi"), DISTANCE_VIEW_COLUMNS, hot_rows, broadcast_bytes)
 
 
 def time_races(star: StarSchema, hot_rows: int = HOT_KEY_ROWS,
-              broadcast_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+              broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Results of events whose (dimension) unit is h."""
     return _race_view(
         star, ["event_id", "athlete_id", "year_of_event", "event_start_date",
                "performance_km", "athlete_avg_speed_kmh", "event_number_of_finishers"],
-        F.col("event_unit") == "h", TIME_VIEW_COLUMNS, hot_rows, broadcast_rows)
+        F.col("event_unit") == "h", TIME_VIEW_COLUMNS, hot_rows, broadcast_bytes)
 
 
 def _share_pct(count_col: str) -> F.Column:

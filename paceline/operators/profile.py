@@ -124,9 +124,10 @@ def gender_by_event(raw: DataFrame, ordered: bool = False) -> DataFrame:
     return out.orderBy(F.desc("total"), "event_name") if ordered else out
 
 
-def top_k(df: DataFrame, key: str, k: int, count_name: str) -> DataFrame:
-    """O2: the k most frequent non-null values of ``key``; ties by value."""
-    return (df.filter(F.col(key).isNotNull())
+def top_k(df: DataFrame, key: str, k: int, count_name: str, keep_null: bool = False) -> DataFrame:
+    """O2: the k most frequent values of ``key``; ties by value.  With
+    ``keep_null`` the null group counts as a value."""
+    return (df.filter(F.lit(True) if keep_null else F.col(key).isNotNull())
             .groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
             .orderBy(F.desc(count_name), F.asc(key))
             .limit(k))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from paceline.functions import cleaning as C
 from paceline.operators import marts, profile
 from paceline.operators.clean import clean, parse_results, union_feeds
-from paceline.operators.joins import enrich_country, maybe_broadcast
+from paceline.operators.joins import enrich_country, enrich_country_name, maybe_broadcast
 from paceline.operators.model import StarSchema
 from paceline.sources.feed import country_lookup, race_feeds
 from paceline.sources.tables import materialize
@@ -204,6 +204,15 @@ def q_date_format_counts(spark, sf_dir):
     return profile.date_format_counts(raw_results(spark, sf_dir))
 
 
+def q_country_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country's name for every result's athlete."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    people = (read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
+              .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+              .select(F.col("o_orderkey").alias("result"), F.col("n_name").alias("athlete_country")))
+    return enrich_country_name(people, country_lookup(spark, sf_dir), "athlete_country", "country_name")
+
+
 BATCH_QUERIES: dict[str, Query] = {
     "raw_union": q_raw_union,
     "event_parse": q_event_parse,
@@ -234,6 +243,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "races_per_year": q_races_per_year,
     "event_type_counts": q_event_type_counts,
     "date_format_counts": q_date_format_counts,
+    "country_name_lookup": q_country_name_lookup,
 }
 
 

@@ -1,56 +1,52 @@
 """CSV sources S1-S4 and the CSV landing writer.
 
-* S1 ``probe_schema``: header + inferSchema on a few files, keep ``.schema``.
-  Probe a sample (one landed batch), never the whole landing area: at scale
-  inference is a full extra pass over the text.
-* S2/S3 ``stream_csv``: file stream with the schema pinned (a streaming file
-  source refuses to infer).  Columns bind by position under an explicit
-  schema, so the probe must come from files of the same layout.
-* S4 ``read_quoted_csv``: batch scan of quoted fields that may hold quotes
-  and line breaks (multiLine; such files are not split across tasks).
+* S1 ``header_schema``: column names from the header, every type string.  No
+  value decides a type, so no file can hold one that does not fit; silver
+  types the columns.  ``probe_schema`` infers types from all files, for
+  callers that want them.
+* S2 ``stream_csv``: file stream with the schema pinned.  A file whose header
+  differs in names or order raises instead of being read by position.  Files
+  are taken whatever their age.
+* S3 ``stream_csv_inferred`` = S1 (inferred) + S2.
+* S4 ``read_quoted_csv``: batch scan of quoted fields that may hold quotes and
+  line breaks (such files are not split across tasks: land many files).
+
+Writer and readers share one form: a doubled quote escapes a quote, blanks are
+kept, and null is written as ``NULL_MARK`` so that empty text stays empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
-# Bounded micro-batches: each availableNow batch takes at most this many
-# new files, so a backlog of thousands of files never lands in one batch.
-MAX_FILES_PER_TRIGGER = 1000
+NULL_MARK = r"\N"
+# A landed file is never too old to be read (the default is seven days).
+_ANY_AGE = "36500d"
 
 
-# Files read by a schema probe: inference is a full pass over what it reads.
-PROBE_MAX_FILES = 8
+def _form(null_value: str) -> dict[str, str]:
+    return {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8", "nullValue": null_value}
 
 
-def widen(schema: StructType) -> StructType:
-    """Integer columns as bigint: a probe sees a sample, later files may hold
-    values past 2^31 that a pinned int would turn into nulls."""
-    return StructType([StructField(f.name, LongType() if isinstance(f.dataType, IntegerType) else f.dataType,
-                                   f.nullable) for f in schema.fields])
+def header_schema(spark: SparkSession, path: str, null_value: str = NULL_MARK) -> StructType:
+    """Names from the header line of one file, all columns string."""
+    return spark.read.options(**_form(null_value)).csv(path).schema
 
 
-def probe_schema(spark: SparkSession, path: str, max_files: int | None = None) -> StructType:
-    """Infer the CSV schema once (header + inferSchema).
+def probe_schema(spark: SparkSession, path: str, null_value: str = NULL_MARK) -> StructType:
+    """S1 with types: a full pass over all files, so that no later value is
+    lost to a type inferred from the first ones."""
+    return spark.read.options(**_form(null_value)).option("inferSchema", "true").csv(path).schema
 
-    With ``max_files`` only that many files (in name order) are read.
-    """
-    paths: str | list[str] = path
-    if max_files is not None:
-        files = sorted(f for f in spark.read.text(path).inputFiles() if f.endswith(".csv"))
-        paths = files[:max_files] or path
-    return (spark.read.option("header", "true").option("inferSchema", "true")
-            .option("encoding", "UTF-8").csv(paths).schema)
 
-
-def stream_csv(spark: SparkSession, path: str, schema: StructType,
-               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Append stream over a landing folder, schema pinned."""
-    return (spark.readStream.schema(schema)
-            .option("header", "true").option("encoding", "UTF-8")
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .csv(path))
+def stream_csv(spark: SparkSession, path: str, schema: StructType, null_value: str = NULL_MARK,
+               batch: dict[str, str] | None = None) -> DataFrame:
+    """Append stream over a landing folder, schema pinned.  ``batch``:
+    limits of a micro-batch, e.g. {"maxBytesPerTrigger": "200g"}."""
+    return (spark.readStream.schema(schema).options(**_form(null_value))
+            .option("enforceSchema", "false").option("maxFileAge", _ANY_AGE)
+            .options(**(batch or {})).csv(path))
 
 
 def stream_csv_inferred(spark: SparkSession, path: str, probe_path: str | None = None) -> DataFrame:
@@ -58,21 +54,14 @@ def stream_csv_inferred(spark: SparkSession, path: str, probe_path: str | None =
     return stream_csv(spark, path, probe_schema(spark, probe_path or path))
 
 
-def read_quoted_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_quoted_csv(spark: SparkSession, path: str, schema: StructType, null_value: str = NULL_MARK) -> DataFrame:
     """Quoted multi-line CSV (a doubled quote escapes a quote)."""
-    reader = (spark.read.option("header", "true").option("multiLine", "true")
-              .option("escape", '"').option("encoding", "UTF-8"))
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    return reader.csv(path)
-
+    return spark.read.options(**_form(null_value)).option("enforceSchema", "false").schema(schema).csv(path)
 
-def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Land a DataFrame as CSV files that read back unchanged.
 
-    Quotes are escaped by doubling, and surrounding blanks are kept (a
-    blank club must stay blank, not become empty).
-    """
+def write_csv(df: DataFrame, path: str, mode: str = "append", null_value: str = NULL_MARK) -> None:
+    """Land a DataFrame as CSV files that read back unchanged."""
     (df.write.mode(mode)
-     .option("header", "true").option("escape", '"')
+     .option("header", "true").option("escape", '"').option("nullValue", null_value).option("emptyValue", '""')
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))

@@ -8,13 +8,13 @@ S12: a table's comment is the docstring of the function that defines it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-# A streaming query that has not drained its backlog in this time is stuck.
-STREAM_TIMEOUT_SEC = 3600
+_ANY_AGE = "36500d"
 
 
 @dataclass(frozen=True)
@@ -36,20 +36,22 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stream_table(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """Append stream over an upstream table; schema from its files."""
+def stream_table(spark: SparkSession, path: str, batch: dict[str, str] | None = None) -> DataFrame:
+    """Append stream over an upstream table; schema from its files, which
+    are read whatever their age.  ``batch``: limits of a micro-batch."""
     schema = spark.read.parquet(path).schema
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(path))
+    return (spark.readStream.schema(schema).option("maxFileAge", _ANY_AGE)
+            .options(**(batch or {})).parquet(path))
 
 
-def append_available(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:
+def append_available(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
+                     timeout: int | None = None) -> StreamingQuery:
     """Write every new input row once (availableNow), then stop.
 
     The checkpoint records which input files are done, so a rerun adds
     nothing and a new file adds only its rows; a failed run resumes from
-    the last committed micro-batch (the file sink is exactly-once).
+    the last committed micro-batch (the file sink is exactly-once).  It waits
+    as long as the backlog takes unless the caller sets ``timeout`` seconds.
     """
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint)
@@ -57,8 +59,9 @@ def append_available(df: DataFrame, path: str, checkpoint: str, name: str | None
     if name:
         writer = writer.queryName(name)
     query = writer.start(path)
-    finished = query.awaitTermination(STREAM_TIMEOUT_SEC)
-    if not finished:
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream into {path} did not finish")
     if query.exception() is not None:
@@ -67,8 +70,33 @@ def append_available(df: DataFrame, path: str, checkpoint: str, name: str | None
 
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Full recompute of a materialized table."""
-    df.write.mode("overwrite").parquet(path)
+    """Full recompute of a materialized table, as a new version.
+
+    Every version is a folder of its own, and counts once Spark has committed
+    it (``_SUCCESS``).  A refresh that fails leaves the version before it.
+    """
+    versions = _versions(df.sparkSession, path)
+    df.write.parquet(f"{path}/v{versions[-1] + 1 if versions else 1:08d}-{uuid.uuid4().hex}")
+
+
+def _versions(spark: SparkSession, path: str, names: dict[int, str] | None = None) -> list[int]:
+    """Numbers of the committed versions, ascending."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
+    names = {} if names is None else names
+    for status in found or ():
+        folder = status.getPath().getParent()
+        names[int(folder.getName()[1:9])] = folder.toString()
+    return sorted(names)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The last committed version of a table that ``overwrite`` writes."""
+    names: dict[int, str] = {}
+    versions = _versions(spark, path, names)
+    if not versions:
+        raise FileNotFoundError(f"no committed version in {path}")
+    return spark.read.parquet(names[versions[-1]])
 
 
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:

@@ -19,15 +19,19 @@ from pyspark.sql.types import StructType
 
 from paceline.operators.clean import clean, union_feeds
 from paceline.operators.model import dim_athlete, dim_date, dim_event, fct_results, StarSchema
-from paceline.sources.csv import PROBE_MAX_FILES, probe_schema, stream_csv, widen
-from paceline.sources.tables import Layers, append_available, overwrite, read_table, stream_table
+from paceline.functions.names import normalise_columns
+from paceline.operators import marts
+from paceline.sources.csv import header_schema, stream_csv
+from paceline.sources.tables import (Layers, append_available, overwrite, read_current, read_table, register_views,
+                                     stream_table)
 
 MAIN, SECOND, COUNTRIES = "raw_results", "raw_second_results", "raw_country_code"
 
 
-def ingest(spark: SparkSession, layers: Layers, source: str, schema: StructType) -> None:
+def ingest(spark: SparkSession, layers: Layers, source: str, schema: StructType,
+           batch: dict[str, str] | None = None) -> None:
     """New landed CSV files of one source -> its bronze table."""
-    stream = stream_csv(spark, layers.landing(source), schema)
+    stream = stream_csv(spark, layers.landing(source), schema, batch=batch)
     append_available(stream, layers.table("bronze", source), layers.checkpoint("bronze", source))
 
 
@@ -38,22 +42,24 @@ def ingest_all(spark: SparkSession, layers: Layers, schemas: dict[str, StructTyp
 
 def probe_schemas(spark: SparkSession, layers: Layers, probe_paths: dict[str, str] | None = None
                   ) -> dict[str, StructType]:
-    """S1 for every source: a bounded sample of landed files, integers widened."""
+    """S1 for every source: names from the header, all columns string."""
     probe_paths = probe_paths or {}
-    return {s: widen(probe_schema(spark, probe_paths.get(s, layers.landing(s)), max_files=PROBE_MAX_FILES))
+    return {s: header_schema(spark, probe_paths.get(s, layers.landing(s)))
             for s in (MAIN, SECOND, COUNTRIES)}
 
 
-def silver_stream(spark: SparkSession, layers: Layers) -> DataFrame:
-    """Union both bronze streams, clean, enrich from the static lookup."""
-    main = stream_table(spark, layers.table("bronze", MAIN))
-    second = stream_table(spark, layers.table("bronze", SECOND))
-    countries = read_table(spark, layers.table("bronze", COUNTRIES))
-    return clean(union_feeds(main, second), countries)
+def silver_stream(spark: SparkSession, layers: Layers, id_type: str | None = None,
+                  batch: dict[str, str] | None = None) -> DataFrame:
+    """Union both bronze streams, clean, enrich from the static lookup.
+    ``id_type`` types the athlete ids, which stay text without it."""
+    main = stream_table(spark, layers.table("bronze", MAIN), batch)
+    second = stream_table(spark, layers.table("bronze", SECOND), batch)
+    countries = normalise_columns(read_table(spark, layers.table("bronze", COUNTRIES)))
+    return clean(union_feeds(main, second), countries, id_type)
 
 
-def refresh_silver(spark: SparkSession, layers: Layers) -> None:
-    append_available(silver_stream(spark, layers), layers.table("silver", "results_clean"),
+def refresh_silver(spark: SparkSession, layers: Layers, id_type: str | None = None) -> None:
+    append_available(silver_stream(spark, layers, id_type), layers.table("silver", "results_clean"),
                      layers.checkpoint("silver", "results_clean"))
 
 
@@ -71,15 +77,23 @@ def refresh_dimensions(spark: SparkSession, layers: Layers) -> None:
         overwrite(build(silver), layers.table("gold", name))
 
 
-def run_once(spark: SparkSession, layers: Layers, schemas: dict[str, StructType]) -> None:
+def run_once(spark: SparkSession, layers: Layers, schemas: dict[str, StructType],
+             id_type: str | None = None) -> None:
     """One refresh of the whole DAG: bronze -> silver -> facts -> dimensions."""
     ingest_all(spark, layers, schemas)
-    refresh_silver(spark, layers)
+    refresh_silver(spark, layers, id_type)
     refresh_facts(spark, layers)
     refresh_dimensions(spark, layers)
 
 
 def gold_star(spark: SparkSession, layers: Layers) -> StarSchema:
     """The persisted star schema, read back as static tables."""
-    t = lambda name: read_table(spark, layers.table("gold", name))
-    return StarSchema(t("fct_results"), t("dim_athlete"), t("dim_event"), t("dim_date"))
+    dims = [read_current(spark, layers.table("gold", name)) for name in ("dim_athlete", "dim_event", "dim_date")]
+    return StarSchema(read_table(spark, layers.table("gold", "fct_results")), *dims)
+
+
+def register_gold_views(spark: SparkSession, star: StarSchema) -> None:
+    """The two race views and the four marts under stable names."""
+    register_views(spark, {f.__name__: f(star) for f in (
+        marts.distance_races, marts.time_races, marts.country_representation, marts.event_distance,
+        marts.events_per_year, marts.gender_distribution)})

@@ -9,16 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.operators import marts
 from paceline.session import fresh_dir
-from paceline.sources.csv import probe_schema, read_quoted_csv, write_csv
+from paceline.operators.clean import union_feeds
+from paceline.sources.csv import read_quoted_csv, stream_csv_inferred, write_csv
 from paceline.sources.feed import country_lookup, race_feeds
-from paceline.sources.tables import Layers, read_table, register_views
+from paceline.sources.tables import Layers, append_available, read_table
 from paceline.streaming import pipeline as P
 
 # The main feed arrives in two drops: events up to this year, then the rest.
 FIRST_DROP_LAST_YEAR = 1997
 
+# The derived feed's athlete ids are numbers.
+ID_TYPE = "bigint"
+
 
 def land_first_drop(spark: SparkSession, layers: Layers, sf_dir: str) -> None:
     main, second = race_feeds(spark, sf_dir)
@@ -29,18 +32,20 @@ def land_first_drop(spark: SparkSession, layers: Layers, sf_dir: str) -> None:
 
 def land_second_drop(spark: SparkSession, layers: Layers, sf_dir: str) -> None:
     main, _ = race_feeds(spark, sf_dir)
-    write_csv(main.filter(F.col("Year of event") > FIRST_DROP_LAST_YEAR), layers.landing(P.MAIN))
+    year = F.col("Year of event")
+    write_csv(main.filter((year > FIRST_DROP_LAST_YEAR) | year.isNull()), layers.landing(P.MAIN))
 
 
 def q_stream_results_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two drops of the main feed, each through bronze; silver once at the end."""
+    """Two drops of the main feed, each through bronze and silver."""
     layers = Layers(fresh_dir(spark, "stream"))
     land_first_drop(spark, layers, sf_dir)
     schemas = P.probe_schemas(spark, layers)
     P.ingest_all(spark, layers, schemas)
+    P.refresh_silver(spark, layers, ID_TYPE)
     land_second_drop(spark, layers, sf_dir)
     P.ingest_all(spark, layers, schemas)
-    P.refresh_silver(spark, layers)
+    P.refresh_silver(spark, layers, ID_TYPE)
     return read_table(spark, layers.table("silver", "results_clean"))
 
 
@@ -49,34 +54,36 @@ def q_refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = Layers(fresh_dir(spark, "refresh"))
     land_first_drop(spark, layers, sf_dir)
     schemas = P.probe_schemas(spark, layers)
-    P.run_once(spark, layers, schemas)
+    P.run_once(spark, layers, schemas, ID_TYPE)
     land_second_drop(spark, layers, sf_dir)
-    P.run_once(spark, layers, schemas)
-    star = P.gold_star(spark, layers)
-    view = f"mart_events_per_year_{layers.root.rsplit('-', 1)[-1]}"   # S9, unique per run
-    register_views(spark, {view: marts.events_per_year(star)})
-    return spark.table(view).orderBy("year", "month")
+    P.run_once(spark, layers, schemas, ID_TYPE)
+    P.register_gold_views(spark, P.gold_star(spark, layers))
+    return spark.table("events_per_year").orderBy("year", "month")
 
 
 def q_quoted_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main-feed rows with a quoted, multi-line note, through CSV and back."""
-    main, _ = race_feeds(spark, sf_dir)
-    note = F.concat(F.lit('Finished "'), F.col("Event name"), F.lit('", split\n'),
-                    F.coalesce(F.col("Athlete performance"), F.lit("")))
-    rows = main.select("Athlete ID", "Event name", "Athlete club", "Athlete performance",
-                       note.alias("Note"))
+    """The whole feed with a quoted, multi-line note, through CSV and back."""
+    raw = union_feeds(*race_feeds(spark, sf_dir))
+    note = F.concat(F.lit('Finished "'), F.col("event_name"), F.lit('", split\n'),
+                    F.coalesce(F.col("athlete_performance"), F.lit("")))
+    rows = raw.withColumn("note", note)
     path = fresh_dir(spark, "quoted") + "/results"
     write_csv(rows, path)
-    return read_quoted_csv(spark, path, schema=probe_schema_multiline(spark, path))
+    return read_quoted_csv(spark, path, schema=rows.schema)
 
 
-def probe_schema_multiline(spark: SparkSession, path: str):
-    return (spark.read.option("header", "true").option("inferSchema", "true")
-            .option("multiLine", "true").option("escape", '"').csv(path).schema)
+def q_country_code_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the lookup landed as CSV and streamed with inferred types."""
+    layers = Layers(fresh_dir(spark, "lookup"))
+    write_csv(country_lookup(spark, sf_dir), layers.landing(P.COUNTRIES))
+    append_available(stream_csv_inferred(spark, layers.landing(P.COUNTRIES)), layers.table("bronze", P.COUNTRIES),
+                     layers.checkpoint("bronze", P.COUNTRIES))
+    return read_table(spark, layers.table("bronze", P.COUNTRIES))
 
 
 STREAM_QUERIES = {
     "stream_results_clean": q_stream_results_clean,
     "refresh_marts": q_refresh_marts,
     "quoted_csv_scan": q_quoted_csv_scan,
+    "country_code_stream": q_country_code_stream,
 }

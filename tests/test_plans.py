@@ -51,5 +51,5 @@ def test_views_read_pruned_columns(spark):
 
 def test_lookup_broadcast_is_size_checked(spark):
     lookup = country_lookup(spark, SF_SMALL)
-    assert fits_broadcast(lookup, 100)
-    assert not fits_broadcast(lookup, 10)
+    assert fits_broadcast(lookup, 100_000)
+    assert not fits_broadcast(lookup, 1000)

@@ -36,7 +36,7 @@ def test_salted_join_equals_plain_join(spark):
     total = st.fact.count()
     fact = st.fact.select("result_id", "event_id", "athlete_id")
     athletes = st.athletes.select("athlete_id", "athlete_gender")
-    salted = skew_safe_join(fact, athletes, "athlete_id", hot_rows=total // 20, broadcast_rows=0)
+    salted = skew_safe_join(fact, athletes, "athlete_id", hot_rows=total // 20, broadcast_bytes=0)
     plain = fact.join(athletes, "athlete_id")
     assert rows(salted.select(*plain.columns)) == rows(plain)
     plan = salted._jdf.queryExecution().executedPlan().toString()
@@ -47,7 +47,7 @@ def test_views_with_hot_keys_match_unsalted(spark):
     st = hot_star(spark)
     total = st.fact.count()
     for view in (marts.distance_races, marts.time_races):
-        split = view(st, hot_rows=total // 20, broadcast_rows=0)
-        unsplit = view(st, hot_rows=10 ** 12, broadcast_rows=0)
+        split = view(st, hot_rows=total // 20, broadcast_bytes=0)
+        unsplit = view(st, hot_rows=10 ** 12, broadcast_bytes=0)
         broadcast = view(st)
         assert rows(split) == rows(unsplit) == rows(broadcast)
