@@ -229,7 +229,9 @@ def compare_neighbours(docs: DataFrame, cells_per_digest: float = CELLS_PER_DIGE
     for attempt in range(1, attempts + 1):
         if open_.isEmpty():
             break
-        again = edit(successors_of(docs, open_))
+        # a table of its own: its size tells the planner that no text need move
+        few = spool(open_.select("range", "rid", "key", "tie", "next_key", "next_tie"), "iblt-open")
+        again = edit(successors_of(docs, few))
         next_ = spool(open_.drop("near_edited", "near_next", "left").join(peeled(again, 2 ** attempt), ["range", "rid"])
                       .select(*columns), "iblt")
         done, open_ = done.unionByName(next_.filter("left = 0")), next_.filter("left > 0")
