@@ -41,7 +41,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.llm.chunks import ChunkEncoder
 from paceline.llm.common import spool
 
 SEQUENCE_LENGTH = 1024
@@ -71,7 +70,6 @@ class JsonBpe:
     """
 
     def __init__(self, vocabulary: bytes, pattern: str):
-        import regex
         import tiktoken
 
         of = byte_chars()
@@ -81,14 +79,13 @@ class JsonBpe:
         if max(ranks.values()) > 0xFFFF:
             raise ValueError("ids must fit two bytes")
         self.merge = tiktoken.Encoding("json", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.chunks = ChunkEncoder(regex.compile(pattern).findall, self._encode_tokens)
 
-    def _encode_tokens(self, tokens: list[str]) -> list[bytes]:
-        return [np.array(ids, np.uint16).tobytes() for ids in map(self.merge.encode_ordinary, tokens)]
+    def encode(self, text: str) -> np.ndarray:
+        return self.merge.encode_to_numpy(text, disallowed_special=()).astype("<u2")
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 16-bit integers."""
-        return self.chunks.encode_batch(texts)
+        return [self.encode(t).tobytes() for t in texts]
 
 
 def tokenize(docs: DataFrame, vocabulary: str, pattern: str, max_queues: int = MAX_QUEUES) -> DataFrame:
@@ -102,7 +99,7 @@ def tokenize(docs: DataFrame, vocabulary: str, pattern: str, max_queues: int = M
     queue = F.col("source") if few else F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(max_queues))
     schema = _TOKEN_SCHEMA.format(kind=kind)
     names = ["doc_id", "queue", "part", "before", "n_ids", "ids"]
-    end = np.array([END_ID], np.uint16).tobytes()
+    end = np.array([END_ID], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = JsonBpe(shared.value, pattern)
@@ -241,7 +238,7 @@ def pack(tokens: DataFrame, targets: dict | None = None, sequence_length: int =
             start, length, crc, total, sequence, offset = cols
             for k, (q, at, ids) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(),
                                                  batch.column(3).to_pylist())):
-                wide = np.frombuffer(ids, np.uint16).astype("<u4").tobytes()
+                wide = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                 n, done = len(ids) // 2, 0
                 for position, size in mixture.place(q, at, n):
                     while size:
