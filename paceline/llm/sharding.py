@@ -3,13 +3,14 @@
 Documents with equal texts are linked.  Every document starts in a shard by a
 gapless number, so shard sizes differ by one row at most.  Then rounds of
 label propagation: each linked document looks at how many of its neighbours
-are in which shard, and asks to move to the shard that holds most of its group
-(the group's *target*).  Quotas keep every count as it is: a document is let
+are in which shard, and asks to move to the shards that hold most of its group
+(the group's *targets*: the fullest ones, as many as have room for all of it).
+Askers are spread over the targets in proportion to their room.  Quotas keep every count as it is: a document is let
 into a shard only in exchange for an unlinked document of that shard, which
 takes the place left behind.  The k-th asker of a shard is paired with the
-k-th unlinked document there; whoever has no partner stays.  Shards without
-unlinked documents are no targets, so a group larger than a shard's room goes
-on to the next shard in the following round.  Rounds end when nobody moved.
+k-th unlinked document there; whoever has no partner stays and asks
+again in the next round, by the room left.  Moves lead only to shards that hold
+as many of the group or more.  Rounds end when nobody asks.
 
 The law kept is ``rows``: counts at most one apart.
 
@@ -51,14 +52,24 @@ def propagate(start: DataFrame, shards: int, rows: int, rounds: int = ROUNDS) ->
         room = free.groupBy("shard").agg(F.count(F.lit(1)).alias("room"))
         votes = (current.filter("linked").groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n"))
                  .join(F.broadcast(room), "shard", "left").withColumn("room", F.coalesce("room", F.lit(0))))
-        # most members first; equal ones by a hash, so that groups spread
-        best = F.struct(F.col("n"), F.xxhash64("link", "shard").alias("h"), F.col("shard"))
-        target = (votes.groupBy("link").agg(F.max(F.when(F.col("room") > 0, best)).alias("to"))
-                  .filter("to is not null").select("link", F.col("to.shard").alias("target"), F.col("to.n").alias("most")))
-        here = votes.select("link", "shard", "n")
-        # moving must leave fewer links cut: only towards a shard that holds as many or more
-        ask = (current.filter("linked").join(target, "link").filter("shard != target")
-               .join(here, ["link", "shard"]).filter("n <= most").select("node", "shard", "target"))
+        # most members first; equal ones with room, then by a hash, so that groups spread
+        fullest = Window.partitionBy("link").orderBy(F.desc("n"), F.desc(F.col("room") > 0), F.xxhash64("link", "shard"))
+        earlier = fullest.rowsBetween(Window.unboundedPreceding, -1)
+        size = F.sum("n").over(Window.partitionBy("link"))
+        held = F.coalesce(F.sum(F.col("n") + F.col("room")).over(earlier), F.lit(0))
+        first = F.coalesce(F.sum("room").over(earlier), F.lit(0))
+        # a target holds a range of the group's room; at most ``shards`` targets a group
+        target = F.struct("shard", F.col("first").alias("low"), (F.col("first") + F.col("room")).alias("high"))
+        groups = (votes.withColumns({"home": held < size, "first": first}).groupBy("link")
+                  .agg(F.collect_list(F.when(F.col("home"), target)).alias("homes"),
+                       F.sum(F.when(F.col("home"), F.col("room"))).alias("total"), F.count(F.lit(1)).alias("parts"))
+                  .filter("size(homes) < parts and total > 0").drop("parts"))
+        point = F.pmod(F.xxhash64("node"), F.col("total"))
+        ask = (current.filter("linked").join(groups, "link")
+               .filter(~F.array_contains(F.transform("homes", lambda h: h["shard"]), F.col("shard")))
+               .withColumn("point", point)
+               .select("node", "shard", F.filter("homes", lambda h: (h["low"] <= F.col("point")) & (F.col("point") < h["high"]))
+                       [0]["shard"].alias("target")))
         ask = spool(gapless(ask, F.col("target"), [F.col("node")], "k", rows), "shard-ask")
         if ask.isEmpty():
             break
