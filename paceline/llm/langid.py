@@ -74,16 +74,17 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 80) -> np.ndarray:
-    """Weights (the bias last) of a squared-hinge machine, by Nesterov steps."""
-    a = np.hstack((x, np.ones((len(x), 1))))
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w = z = np.zeros(a.shape[1])
+    """Weights (the bias last) of a squared-hinge machine, by Nesterov steps;
+    ``x`` in single precision and never copied, as it is the driver's largest table."""
+    y = y.astype(np.float32)
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    w = z = np.zeros(x.shape[1] + 1, np.float32)
     rate, t = 1 / (1 + 4 * c), 1.0
     for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (a @ z))
-        grad = z - 2 * c * (a.T @ (share * y * slack))
+        pull = share * y * np.maximum(0, 1 - y * (x @ z[:-1] + z[-1]))
+        grad = z - 2 * c * np.append(x.T @ pull, pull.sum())
         after, t1 = z - rate * grad, (1 + (1 + 4 * t * t) ** 0.5) / 2
-        z, w, t = after + (t - 1) / t1 * (after - w), after, t1
+        z, w, t = (after + (t - 1) / t1 * (after - w)).astype(np.float32), after.astype(np.float32), t1
     return w
 
 
@@ -102,7 +103,7 @@ class Duel:
             ws = []
             for i, j in out.pairs:
                 mine = (y == labels[i]) | (y == labels[j])
-                ws.append(svm(x[mine], np.where(y[mine] == labels[i], 1.0, -1.0)))
+                ws.append(svm(x if mine.all() else x[mine], np.where(y[mine] == labels[i], 1.0, -1.0)))
             out.weights = np.array(ws, np.float32).T
         return out
 
@@ -156,16 +157,27 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Hierarchy |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [trigrams(t.as_py()).astype(np.float32).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary()), batch.column(2)],
-                                             ["lang", "x", "o"])
-
-    rows = picked.select("lang", "text", "o").mapInArrow(run, "lang string, x binary, o long").collect()
-    rows = [r for r in rows if any(r.x)]
+            at, x = [], []
+            for t in batch.column(1):
+                full = trigrams(t.as_py())
+                some = np.flatnonzero(full)
+                at.append(some.astype("<u2").tobytes())
+                x.append(full[some].astype("<f4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(at, pa.binary()), pa.array(x, pa.binary()), batch.column(2)],
+                ["lang", "at", "x", "o"])
+
+    # only the trigrams that occur: a small part of WIDTH
+    rows = picked.select("lang", "text", "o").mapInArrow(run, "lang string, at binary, x binary, o long").collect()
+    rows = sorted((r.lang, r.o, bytes(r.at), bytes(r.x)) for r in rows if r.at)
     if not rows:
         return None
-    rows.sort(key=lambda r: (r.lang, r.o, bytes(r.x)))
-    return Hierarchy.fit(np.array([np.frombuffer(r.x, np.float32) for r in rows]), np.array([r.lang for r in rows]))
+    langs = np.array([r[0] for r in rows])
+    x = np.zeros((len(rows), WIDTH), np.float32)
+    for i, (_, _, at, values) in enumerate(rows):
+        x[i, np.frombuffer(at, "<u2")] = np.frombuffer(values, "<f4")
+    del rows
+    return Hierarchy.fit(x, langs)
 
 
 def _smallest(rows: DataFrame, n: int) -> DataFrame:
