@@ -39,9 +39,10 @@ LABELERS = ("regex", "gazetteer", "context", "alone")
 THRESHOLD = 0.5
 CONTEXT_CHARS = 40
 # A run is entered at its start only, or where the match before it ended.
+# Possessive loops give nothing back, so a match of any length needs no stack.
 _LOCAL, _DIGITS = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++", r"(?:(?<![0-9])|\G)[0-9]++"
 BASE = {
-    "email": _LOCAL + r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": _LOCAL + r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": _DIGITS + r"(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -50,7 +51,7 @@ BASE = {
 HINT = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 LOOSE = {
     "email": _LOCAL + r"(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++"
-             r"(?:(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]++)+",
+             r"(?:(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9+(])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])",
@@ -122,7 +123,7 @@ def _votes(kind: str, text: Column, s: Column, e: Column, t: Column) -> list[Col
     if kind == "email":
         plain = F.regexp_replace(F.regexp_replace(t, r"\x20?[\[(]?\bat\b[\])]?\x20?", "@"),
                                  r"\x20?[\[(]?\bdot\b[\])]?\x20?", ".")
-        form = plain.rlike(r"^[^@]{2,}@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")
+        form = plain.rlike(r"^[^@]{2,}@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}$") & ~plain.rlike(r"@.*\.\.")
         known = F.lower(F.regexp_extract(plain, r"\.([A-Za-z0-9-]+)$", 1)).isin(*DOMAINS)
     elif kind == "ip":
         form = t.rlike(r"^[0-9.]+$|^[0-9A-Fa-f:]+$")

@@ -114,6 +114,8 @@ def test_base_spans_and_what_the_method_adds(spark, odd_docs, no_docs):
     rng = random.Random(4)
     rows = [(i, None if i % 20 == 0 else rng.choice(["", " "]).join(rng.choice(PARTS) for _ in range(rng.randint(0, 9))))
             for i in range(300)]
+    # thousands of labels in one match
+    rows += [(300, "a@" + "b." * 8000 + "c"), (301, "joe at b" + ".b" * 8000)]
     df = spark.createDataFrame(rows, TEXTS)
     model = pii.train(df)
     for r in pii.report(df, model).collect():
