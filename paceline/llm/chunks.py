@@ -95,14 +95,20 @@ class ChunkEncoder:
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """A chunk's only space is the one in front of it, so in the joined
-        text every pre-token that starts with a space opens a chunk."""
+        text every pre-token that starts with a space opens a chunk.  Empty
+        chunks and those with white space at an edge would share a match with
+        the joining space; they are split alone."""
+        plain = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
         groups: list[list[str]] = []
-        for token in self.pre_tokens(" " + " ".join(chunks)):
+        for token in self.pre_tokens(" " + " ".join(plain)) if plain else ():
             if token[0] == " ":
                 groups.append([token])
             else:
                 groups[-1].append(token)
-        return self._encode_lists(groups)
+        if len(groups) != len(plain):
+            raise RuntimeError(f"{len(plain)} chunks were split into {len(groups)} groups")
+        of = dict(zip(plain, groups))
+        return self._encode_lists([of[c] if c in of else self.pre_tokens(" " + c) for c in chunks])
 
     def _encode_lists(self, lists: list[list[str]]) -> list[bytes]:
         get = self.tokens.get

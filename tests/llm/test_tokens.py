@@ -1,6 +1,7 @@
 """Operators 1 and 9 against tiktoken, tokenizers and the texts themselves."""
 
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -11,6 +12,7 @@ from conftest import SF_SMALL
 from tokenizers import Tokenizer
 
 from paceline.llm import bpe, packing
+from paceline.llm.chunks import ChunkEncoder
 from paceline.llm.common import documents
 from paceline.llm.queries import PATTERN, RANKS, VOCABULARY
 
@@ -39,6 +41,21 @@ def test_ids_equal_tiktoken_and_decode_back(ours, theirs, text):
     assert ours.decode(ours.encode(text)) == text.encode()
 
 
+EDGES = ["foo bar\n", "x \nfoo", "a b ", "q \tfoo", "z \n\ny"]
+
+
+def test_texts_of_a_batch_do_not_change_each_others_ids(ours, theirs):
+    """Unseen chunks with white space at their edges, next to one another in every order."""
+    def check(texts):
+        ours.chunks = ChunkEncoder(ours.chunks.pre_tokens, ours._encode_tokens)
+        assert ours.encode_batch(texts) == [packed_ids(theirs.encode_ordinary(t)) for t in texts]
+
+    for texts in itertools.permutations(EDGES):
+        check(list(texts))
+    for seed in range(200):
+        check(random.Random(seed).sample(HARD + EDGES, len(HARD + EDGES)))
+
+
 def test_cache_does_not_change_ids(ours, theirs):
     tiny = bpe.ByteBpe(bpe.read_ranks(RANKS), PATTERN)
     tiny.chunks.chunks.limit = tiny.chunks.tokens.limit = 3
