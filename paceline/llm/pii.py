@@ -49,14 +49,15 @@ BASE = {
 }
 # Texts without this need no search.
 HINT = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
+_AT, _DOT = r"(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)", r"(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\.)"
 LOOSE = {
-    "email": _LOCAL + r"(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++"
-             r"(?:(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]++)++",
+    "email": _LOCAL + _AT + rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9+(])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])",
 }
-LOOSE_HINT = {"email": r"[\[(]at[\])]|\x20dot\x20|\x20at\x20[A-Za-z0-9-]++\.[A-Za-z]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]",
+# A hint is a part of its pattern, so every match holds it.
+LOOSE_HINT = {"email": rf"{_AT}[A-Za-z0-9-]++{_DOT}[A-Za-z0-9-]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]",
               "card": r"[0-9]{4}[._/][0-9]{4}", "phone": r"[0-9]{3}[.\x20-][0-9]{4}"}
 # Public top-level domains, and words that announce personal data.
 DOMAINS = ("com", "org", "net", "edu", "gov", "mil", "int", "io", "co", "info", "biz", "me", "de", "fr", "es", "it",

@@ -128,6 +128,31 @@ def test_base_spans_and_what_the_method_adds(spark, odd_docs, no_docs):
     assert pii.report(no_docs, pii.train(no_docs)).count() == 0
 
 
+PARTS = {"email": ["jane.doe", "x", "@", " at ", "[at]", " (at) ", "example", " dot ", "[dot]", " [dot] ", "(dot)", ".", "org", "7", " "],
+         "ip": ["1", "25", "255", ".", ":", "fe80", "a", "1:2:3:4:5:6:7", ":8", "1:2:3:4:5:6:7:8", "10.2.3.4", ".10", " "],
+         "card": ["4", "4111", "1111", "0000", " ", "-", ".", "_", "/", "4111.1111", "4111_1111/4111"],
+         "phone": ["+", "1", "555", "0199", "(555)", " ", ".", "-", "555-123-", "867"]}
+
+
+@pytest.mark.parametrize("kind", pii.KINDS)
+def test_every_match_of_a_pattern_has_its_hint(spark, kind):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices(PARTS[kind], k=rng.randint(2, 9))) for _ in range(20_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for pattern, hint in [(pii.BASE[kind], pii.HINT[kind]), (pii.LOOSE[kind], pii.LOOSE_HINT[kind])]:
+        matched = df.filter(F.col("text").rlike(pattern))
+        assert matched.count() > 10 and matched.filter(~F.col("text").rlike(hint)).collect() == []
+
+
+@pytest.mark.parametrize("address", ["jane.doe at example[dot]com", "jane.doe at example [dot] com", "jane at example (dot) org",
+                                     "jane at example.9net", "jane [at] example.com"])
+def test_spelled_out_addresses_are_candidates_whatever_else_a_text_holds(spark, address):
+    texts = [f"mail {address}", f"mail {address} or see the note (at) once"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", pii.candidates(F.col("text")).alias("found")).collect():
+        assert [r.text[x.s:x.e] for x in r.found if not x.base] == [address]
+
+
 def test_em_learns_which_labeler_to_trust():
     # labeler 0 is right, labeler 3 votes at random
     table = [(3, True, (1, 1, 1, 1), 1, 50), (3, True, (1, 1, 0, -1), 1, 50), (3, False, (1, 1, 0, 1), 1, 20),
