@@ -155,3 +155,23 @@ def test_packing_of_odd_rows(odd_docs, no_docs):
     assert packing.pack_documents(no_docs, VOCABULARY, PATTERN).count() == 0
     few = packing.tokenize(odd_docs, VOCABULARY, PATTERN, max_queues=1).select("queue").distinct().count()
     assert few <= 2
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> \n", " <|endoftext|>  it's", "<|endoftext|", "<|END|>"]
+
+
+@pytest.mark.parametrize("text", HARD + ADDED)
+def test_packed_ids_equal_the_library_in_its_default_setting(text):
+    model = Tokenizer.from_file(VOCABULARY)
+    with open(VOCABULARY, "rb") as f:
+        ours = packing.JsonBpe(f.read(), PATTERN)
+    assert ours.encode(text).tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_texts_that_hold_added_tokens(spark):
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string").selectExpr("*", "'a' AS source")
+    model = Tokenizer.from_file(VOCABULARY)
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.pack_documents(docs, VOCABULARY, PATTERN).collect()}
+    for i, text in enumerate(ADDED):
+        ids = [*model.encode(text, add_special_tokens=False).ids, 0]
+        assert got[i] == (len(ids), zlib.crc32(packed_ids(ids)))
