@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from paceline.llm import ordinal, packing, pii, simhash, substring
 from paceline.llm.common import documents, spool
-from paceline.llm.queries import PATTERN, VOCABULARY
+from paceline.llm.queries import PATTERN, TARGETS, VOCABULARY
 
 
 def _recount(docs: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    return packing.pack_documents(docs, VOCABULARY, PATTERN)
+    return packing.pack_documents(docs, VOCABULARY, PATTERN, packing.present(docs, TARGETS))
 
 
 STAGES = [("quality_classifier", quality), ("simhash_near_dedup", near_duplicates),

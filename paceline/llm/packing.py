@@ -8,8 +8,11 @@ a source has sent after w windows is its share of w windows, give or take as
 many tokens as there are sources, and follows from w alone.  So any partition
 can place its documents without waiting for the windows before: only the
 number of tokens of a source in earlier partitions has to be known.  A source that runs dry leaves the round-robin and
-the others' shares grow in proportion (one more *phase*); with no targets
-given, the shares are those of the corpus and all queues end together.
+the others' shares grow in proportion (one more *phase*).  Targets are whole
+numbers or shares of any scale.  Sources without a target follow when those
+with one have run dry, and with no targets at all every source is such a one:
+their shares are those of the corpus, so they end together.  A target whose
+source does not occur is an error.
 
 Only the last sequence can be partial, so the padding is under one sequence.
 
@@ -20,8 +23,9 @@ give each document its place in its queue, and cut it into pieces.
 
 Null and empty texts are one end token.  A null source is a queue of its own.
 Repeated rows are packed as often as they come; extra columns are ignored.
-More than ``MAX_QUEUES`` sources are hashed into that many queues, which
-bounds the table of shares on the driver.
+Of more than ``MAX_QUEUES`` sources, those without a target are hashed into
+that many queues, which bounds the table of shares on the driver; a source with
+a target always has a queue of its own.
 """
 
 from __future__ import annotations
@@ -30,9 +34,10 @@ import bisect
 import heapq
 import itertools
 import json
+import math
 import zlib
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -94,15 +99,31 @@ class JsonBpe:
         return [self.encode(t).tobytes() for t in texts]
 
 
-def tokenize(docs: DataFrame, vocabulary: str, pattern: str, max_queues: int = MAX_QUEUES) -> DataFrame:
+def present(docs: DataFrame, targets: dict) -> dict:
+    """The targets of those sources that ``docs`` hold."""
+    rows = docs.select(F.col("source").cast("string").alias("q")).distinct()
+    named = rows.filter(F.col("q").isNull() | F.col("q").isin([q for q in targets if q is not None]))
+    found = {r.q for r in named.collect()}  # at most one row a target, and null
+    return {q: t for q, t in targets.items() if q in found}
+
+
+def tokenize(docs: DataFrame, vocabulary: str, pattern: str, max_queues: int = MAX_QUEUES,
+             targeted: Iterable = ()) -> DataFrame:
     """Ids of every document, its queue, and the queue's tokens before it in
     the same input partition.  Spool the result: ``part`` and ``before`` tell
-    of the partitions of this one run."""
+    of the partitions of this one run.  Sources in ``targeted`` keep queues of
+    their own."""
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary, under 2 MB
     kind = docs.schema["doc_id"].dataType.simpleString()
     few = docs.select("source").distinct().count() <= max_queues
-    queue = F.col("source") if few else F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(max_queues))
+    queue = F.col("source").cast("string")
+    if not few:
+        own = [q for q in targeted if q is not None]
+        # more marks than any targeted name begins with
+        mark = "#" * (1 + max((len(q) - len(q.lstrip("#")) for q in own), default=0))
+        bucket = F.concat(F.lit(mark), F.pmod(F.crc32(queue.cast("binary")), F.lit(max_queues)).cast("string"))
+        queue = F.when(queue.isin(own), queue).otherwise(bucket)
     schema = _TOKEN_SCHEMA.format(kind=kind)
     names = ["doc_id", "queue", "part", "before", "n_ids", "ids"]
     end = np.array([END_ID], "<u2").tobytes()
@@ -122,13 +143,22 @@ def tokenize(docs: DataFrame, vocabulary: str, pattern: str, max_queues: int = M
                     [rows.column(0), rows.column(1), pa.array([part] * len(ids), pa.int32()),
                      pa.array(before, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())], names)
 
-    return docs.select("doc_id", queue.cast("string").alias("queue"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", queue.alias("queue"), "text").mapInArrow(run, schema)
+
+
+def whole_shares(targets: dict) -> dict:
+    """Targets as whole numbers in the same proportions (0.7 is seven tenths)."""
+    shares = {q: Fraction(str(t)) for q, t in targets.items()}
+    if any(t < 0 for t in shares.values()):
+        raise ValueError("targets must not be negative")
+    unit = math.lcm(*(t.denominator for t in shares.values()))
+    return {q: int(t * unit) for q, t in shares.items()}
 
 
 class Mixture:
     """Where the tokens of every queue go.
 
-    ``totals``: (queue, tokens), ``targets``: shares by queue (None: those of
+    ``totals``: (queue, tokens), ``targets``: shares by queue (none: those of
     the totals).  A phase is a stretch of the output in which the same queues
     are served.  ``_sent`` gives what each queue has sent after n tokens of a
     phase: token t of a queue with weight w is due at (t + 1) / w, and tokens
@@ -139,7 +169,11 @@ class Mixture:
     def __init__(self, totals: list[tuple], targets: dict | None, window: int):
         self.window = window
         left = {q: n for q, n in totals if n}
-        weight = {q: int(targets.get(q, 0)) if targets else n for q, n in left.items()}
+        shares = whole_shares(targets or {})
+        unknown = set(shares) - {q for q, _ in totals}
+        if totals and unknown:
+            raise ValueError(f"targets without a queue: {sorted(map(str, unknown))[:5]}")
+        weight = {q: shares.get(q, 0) for q in left}
         self.phases: list[tuple] = []      # (start, end, weights)
         self.by_queue: dict = {}           # queue -> [(tokens sent before, phase, index)]
         self.sums: OrderedDict = OrderedDict()
@@ -147,7 +181,7 @@ class Mixture:
         while left:
             # queues without a target are served when the others have run dry
             live = sorted((q for q in left if weight[q]), key=str) or sorted(left, key=str)
-            weights = [weight[q] or 1 for q in live]
+            weights = [weight[q] or left[q] for q in live]
             n = self._length(weights, [left[q] for q in live])
             for i, (q, sent) in enumerate(zip(live, self._sent(weights, n))):
                 self.by_queue.setdefault(q, []).append((served[q], len(self.phases), i))
@@ -229,7 +263,7 @@ def pack(tokens: DataFrame, targets: dict | None = None, sequence_length: int =
     order = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(F.col("queue").alias("q2"), F.col("part").alias("p2"),
                           F.coalesce(F.sum("n").over(order), F.lit(0)).alias("earlier"))
-    # one row per queue, at most MAX_QUEUES + 1 of them
+    # one row per queue: at most MAX_QUEUES, the targeted ones and null
     totals = [(r.queue, r.n) for r in tokens.groupBy("queue").agg(F.sum("n_ids").alias("n")).collect()]
     mixture = Mixture(totals, targets, sequence_length * window_sequences)
     placed = tokens.join(offsets, F.col("queue").eqNullSafe(F.col("q2")) & (F.col("part") == F.col("p2")))
@@ -268,6 +302,8 @@ def pack(tokens: DataFrame, targets: dict | None = None, sequence_length: int =
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, targets: dict | None = None,
-                   sequence_length: int = SEQUENCE_LENGTH, window_sequences: int = WINDOW_SEQUENCES) -> DataFrame:
+                   sequence_length: int = SEQUENCE_LENGTH, window_sequences: int = WINDOW_SEQUENCES,
+                   max_queues: int = MAX_QUEUES) -> DataFrame:
     """Tokenize, spool the ids, and pack them."""
-    return pack(spool(tokenize(docs, vocabulary, pattern), "pack-ids"), targets, sequence_length, window_sequences)
+    ids = tokenize(docs, vocabulary, pattern, max_queues, targets or ())
+    return pack(spool(ids, "pack-ids"), targets, sequence_length, window_sequences)

@@ -18,6 +18,8 @@ from paceline.llm.common import documents
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
+# Each source's share of a packing window, until a source runs dry.
+TARGETS = {"src0": 0.24} | {f"src{i}": 0.04 for i in range(1, 20)}
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +62,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir).select("doc_id", "source", "text"), VOCABULARY, PATTERN)
+    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
+    return packing.pack_documents(docs, VOCABULARY, PATTERN, packing.present(docs, TARGETS))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,13 +8,13 @@ import zlib
 import public_tokenizers as P
 import pytest
 import tiktoken
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 from tokenizers import Tokenizer
 
 from paceline.llm import bpe, packing
 from paceline.llm.chunks import ChunkEncoder
 from paceline.llm.common import documents
-from paceline.llm.queries import PATTERN, RANKS, VOCABULARY
+from paceline.llm.queries import PATTERN, RANKS, TARGETS, VOCABULARY, op9_packing
 
 HARD = ["", " ", "a  b", "a \n b", "x  ", " lead", "  two", "a\n\nb c", "it's we'll 123 4 5", "tab\t x", "　 wide   nb",
         "1234567 a.b,c!!  ?? \n\n\n q", "emoji 😀😀 é́", "\x1c \x85 a b", "<|endoftext|> x", "a \n", "a b "]
@@ -175,3 +175,49 @@ def test_pieces_of_texts_that_hold_added_tokens(spark):
     for i, text in enumerate(ADDED):
         ids = [*model.encode(text, add_special_tokens=False).ids, 0]
         assert got[i] == (len(ids), zlib.crc32(packed_ids(ids)))
+
+
+def check_shares(pieces, targets, window, length):
+    """Until a queue ends, what each has sent after every window is its share."""
+    total, sent = {}, {}
+    for p in pieces:
+        total[p.queue] = total.get(p.queue, 0) + p.length
+        w = (p.sequence_id * length + p.offset) // window
+        sent[w, p.queue] = sent.get((w, p.queue), 0) + p.length
+    so_far, checked = dict.fromkeys(targets, 0), 0
+    for w in range(sum(total.values()) // window):
+        for q in targets:
+            so_far[q] += sent.get((w, q), 0)
+        if any(so_far[q] == total[q] for q in targets):
+            break
+        for q, t in targets.items():
+            assert abs(so_far[q] - (w + 1) * window * t / sum(targets.values())) <= len(targets)
+        checked += 1
+    return checked
+
+
+@pytest.mark.parametrize("max_queues", [4096, 2])
+def test_windows_hold_fractional_targets_of_few_and_many_sources(spark, max_queues):
+    targets = {"web": 0.7, "books": 0.2, None: 0.1}
+    rows = [(i, ["web", "books", None, "x", "y", "z"][i % 6], f"text number {i} of its own " * 3) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    pieces = packing.pack_documents(docs, VOCABULARY, PATTERN, targets, 16, 4, max_queues).collect()
+    assert check_shares(pieces, targets, 64, 16) > 20
+    rest = {p.queue for p in pieces} - set(targets)
+    assert rest == {"x", "y", "z"} if max_queues > 2 else len(rest) <= 2
+    first = min(p.sequence_id for p in pieces if p.queue in rest)
+    assert first >= max(p.sequence_id for p in pieces if p.queue not in rest)
+
+
+def test_registered_query_holds_its_documented_targets(spark):
+    pieces = op9_packing(spark, SF_ORACLE).collect()
+    assert {p.queue for p in pieces} == set(TARGETS)
+    assert check_shares(pieces, TARGETS, 65536, 1024) >= 1
+
+
+def test_targets_that_name_no_source_or_are_negative_are_errors(spark):
+    for targets in [{"a": 1, "wbe": 1}, {"a": 1, "b": -1}]:
+        with pytest.raises(ValueError):
+            packing.Mixture([("a", 5), ("b", 5)], targets, 4)
+    docs = spark.createDataFrame([("a",), (None,), ("c",)], "source string")
+    assert packing.present(docs, {"a": 1, "b": 2, None: 3}) == {"a": 1, None: 3}
