@@ -1,6 +1,7 @@
 """Operators 2, 5, 7 and 8 against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -159,6 +160,22 @@ def jaccard(a, b):
 
 
 @pytest.mark.parametrize("cells, rows_per_range", [(iblt.CELLS_PER_DIGEST, 250), (0.2, 30)])
+def split_groups(found):
+    groups = defaultdict(Counter)
+    for r in found:
+        groups[r.text_crc32][r.shard] += 1
+    return sum(len(c) > 1 for c in groups.values())
+
+
+def test_sharding_mends_pairs_when_no_text_is_alone(spark):
+    texts = [f"text {i % 300}" for i in range(600)]
+    random.Random(4).shuffle(texts)
+    rows = list(enumerate(texts))
+    found = sharding.assign(spark.createDataFrame(rows, TEXTS), 6).collect()
+    assert set(Counter(r.shard for r in found).values()) == {100}
+    assert split_groups(found) == 0
+
+
 def test_peeling_recovers_the_differences(spark, monkeypatch, cells, rows_per_range):
     """With too few cells at first, retries give the same likeness."""
     monkeypatch.setattr(iblt, "ROWS_PER_RANGE", rows_per_range)
