@@ -1,4 +1,4 @@
-"""DuckDB SQL for the operators that SQL can express (3 and 5)."""
+"""DuckDB SQL for the operators that SQL can express (3, 5, 12 and 13)."""
 
 from __future__ import annotations
 
@@ -70,4 +70,48 @@ SELECT b.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGIN
 FROM base b LEFT JOIN kept k USING (doc_id)
 """
 
-ORACLE_SQL = {"op3_line_quality": LINE_QUALITY, "op5_substring_dedup": SUBSTRING}
+RUNS = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, j:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS t),
+texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) AS h
+  FROM documents, crc),
+shaped AS (
+  SELECT doc_id, ws, h, len(ws) AS n,
+         CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) ELSE len(ws) END AS a FROM texts),
+chosen AS (
+  SELECT doc_id, n, list_transform(range(n), lambda i: CASE WHEN i < a THEN ws[i + 1]
+           ELSE ws[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1] END) AS ws FROM shaped),
+words AS (SELECT doc_id, n, i, ws[i + 1] AS w FROM (SELECT *, unnest(range(n)) AS i FROM chosen)),
+hits AS (
+  SELECT y.doc_id, y.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.w = y.w
+  WHERE y.i > x.i AND 4 * (y.i - x.i) <= y.n),
+stretches AS (
+  SELECT doc_id, q AS period, min(i) - q AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM hits)
+  GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM stretches s WHERE NOT EXISTS (
+    SELECT 1 FROM stretches t WHERE t.doc_id = s.doc_id AND t.period < s.period
+      AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+best AS (
+  SELECT * FROM (SELECT r.*, row_number() OVER (PARTITION BY doc_id ORDER BY exact DESC, start, period) AS place
+                 FROM (SELECT *, (1000000000000 * length::HUGEINT) // period AS exact FROM runs) r) WHERE place = 1),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+collapsed AS (
+  SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS kept
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i WHERE g.i IS NULL GROUP BY w.doc_id)
+SELECT c.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length,
+       b.period::BIGINT AS period, (1000 * b.length // b.period)::BIGINT AS exponent_milli,
+       sha256(coalesce(l.lines, '')) AS runs_sha256, sha256(coalesce(k.kept, '')) AS collapsed_sha256
+FROM chosen c LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN collapsed k USING (doc_id)
+"""
+
+ORACLE_SQL = {"op3_line_quality": LINE_QUALITY, "op5_substring_dedup": SUBSTRING, "op12_runs": RUNS}

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, iblt, langid, line_quality, ordinal, packing, pii, sharding, simhash, substring
-from paceline.llm.common import documents
+from paceline.llm import bpe, iblt, langid, line_quality, ordinal, packing, pii, runs, sharding, simhash, substring
+from paceline.llm.common import documents, let, words
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,7 +71,41 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(docs, pii.train(docs))
 
 
+def _id_hash() -> Column:
+    """CRC-32 of the decimal doc_id, unsigned (null id: null)."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the hash of the id ends in 0, the text repeats itself from word
+    a on with period p; then the runs of every text, as digests."""
+    g = F.floor(_id_hash() / 10)
+
+    def repeated(ws: Column) -> Column:
+        n = F.size(ws)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return let(F.struct(ws.alias("ws"), a.alias("a"), p.alias("p")), lambda s: F.concat_ws(" ", F.transform(
+            s["ws"], lambda w, i: F.when(i < s["a"], w).otherwise(F.get(s["ws"], s["a"] + (i - s["a"]) % s["p"])))))
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    chosen = (_id_hash() % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    texts = docs.withColumn("text", F.when(chosen, let(words(F.col("text")), repeated)).otherwise(F.col("text")))
+    found = runs.detect(texts)
+    # runs come by start, then period: of equal ones the first stays
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(
+        r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    found = found.withColumns({"n_runs": F.size("runs").cast("long"), "_best": best, "_listed": listed})
+    return found.select(
+        "doc_id", "n_runs", *[F.col(f"_best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(F.lit(1000) * F.col("_best.length") / F.col("_best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.col("_listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_byte_bpe, op2_shards, op3_line_quality, op4_quality_classifier, op5_substring_dedup,
-                            op6_language_id, op7_fingerprints, op8_simhash, op9_packing, op10_pii)
+                            op6_language_id, op7_fingerprints, op8_simhash, op9_packing, op10_pii, op12_runs)
 }
