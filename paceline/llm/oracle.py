@@ -114,4 +114,39 @@ SELECT c.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS sta
 FROM chosen c LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN collapsed k USING (doc_id)
 """
 
-ORACLE_SQL = {"op3_line_quality": LINE_QUALITY, "op5_substring_dedup": SUBSTRING, "op12_runs": RUNS}
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM ws GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM (SELECT lang, ws, unnest(range(1, 5)) AS k FROM ws) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+cuts AS (
+  SELECT lang, phrase, f AS a, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand)),
+scored AS (
+  SELECT c.*, p.f AS l, q.f AS r, (2000000 * a::HUGEINT) // (p.f + q.f) AS score
+  FROM cuts c JOIN f p ON p.lang = c.lang AND p.phrase = c.x JOIN f q ON q.lang = c.lang AND q.phrase = c.y),
+weakest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM scored)
+  WHERE place = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, f
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand WHERE k > 2))),
+covering AS (SELECT lang, phrase, max(f) AS longest FROM inner_parts GROUP BY lang, phrase),
+kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN covering c USING (lang, phrase)
+  WHERE c.longest IS NULL OR 100 * c.longest::HUGEINT < 80 * w.a::HUGEINT)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE_SQL = {"op3_line_quality": LINE_QUALITY, "op5_substring_dedup": SUBSTRING, "op12_runs": RUNS,
+              "op13_collocations": COLLOCATIONS}

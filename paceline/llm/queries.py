@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, iblt, langid, line_quality, ordinal, packing, pii, runs, sharding, simhash, substring
+from paceline.llm import bpe, collocations, iblt, langid, line_quality, logbilinear, ordinal, packing, pii, runs, sharding, simhash, substring
 from paceline.llm.common import documents, let, words
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -76,6 +76,13 @@ def _id_hash() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary"))
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    third = F.pmod(_id_hash(), F.lit(7))
+    held_out = F.coalesce(third == 2, F.lit(False)).alias("held_out")
+    return logbilinear.score(docs.select("*", held_out), third != 2, want_text=False)
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the hash of the id ends in 0, the text repeats itself from word
     a on with period p; then the runs of every text, as digests."""
@@ -105,7 +112,12 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_byte_bpe, op2_shards, op3_line_quality, op4_quality_classifier, op5_substring_dedup,
-                            op6_language_id, op7_fingerprints, op8_simhash, op9_packing, op10_pii, op12_runs)
+                            op6_language_id, op7_fingerprints, op8_simhash, op9_packing, op10_pii, op11_lm_scores,
+                            op12_runs, op13_collocations)
 }
