@@ -290,9 +290,9 @@ class Model:
 class Trainer:
     """Noise-contrastive estimation with AdaGrad steps."""
 
-    def __init__(self, model: Model, noise: np.ndarray, seed: int):
+    def __init__(self, model: Model, squares: Model, noise: np.ndarray, seed: int):
         self.parts = [p.copy() for p in model.parts]
-        self.squares = [np.full_like(p, 1e-3) for p in self.parts]
+        self.squares = [p.copy() for p in squares.parts]
         self.cumulative, self.rng = np.cumsum(noise), np.random.default_rng(seed)
         self.log_kp = np.log(NOISE * noise).astype(np.float32)
         self.tokens = 0
@@ -345,26 +345,27 @@ def train(ready: DataFrame, known: Vocabulary) -> Model:
     """The model after all training documents of ``ready``."""
     frequencies = known.frequencies()
     model = Model(frequencies)
+    squares = model.with_parameters(np.full(len(model.flat()), 1e-3))      # of AdaGrad: averaged and handed on too
+    ready = ready.filter(F.exists("train", lambda x: x))
+    first = ready.agg(F.min("block")).first()[0]
+    begin = F.col("block").eqNullSafe(F.lit(first))
     part = F.pmod(F.xxhash64("block"), F.lit(FIRST_PART)) == 0
-    for blocks in (ready.filter(part), ready.filter(~part)):
-        shared = ready.sparkSession.sparkContext.broadcast((known, model, frequencies / frequencies.sum()))
+    for blocks in (ready.filter(begin), ready.filter(~begin & part), ready.filter(~begin & ~part)):
+        shared = ready.sparkSession.sparkContext.broadcast((known, model, squares, frequencies / frequencies.sum()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocabulary, begin, noise = shared.value
+            vocabulary, start, steps, noise = shared.value
             trainer = None
             for batch in batches:
                 for number, flags, sizes, z, rare in zip(*batch.columns):
-                    chosen = np.array(flags.as_py(), bool)
-                    if not chosen.any():
-                        continue
-                    trainer = trainer or Trainer(begin, noise, number.as_py() % (1 << 31))
+                    trainer = trainer or Trainer(start, steps, noise, number.as_py() % (1 << 31))
                     block = Block(sizes.as_py(), z.as_py())
                     of_word, _ = vocabulary.symbols_of(block, vocabulary.counts_of(block, rare.as_py()))
                     symbols = _token_symbols(block, of_word)
-                    mine = np.repeat(chosen, block.lengths)
+                    mine = np.repeat(np.array(flags.as_py(), bool), block.lengths)
                     trainer.text(symbols[mine], contexts_of(symbols, block.start, block.lengths)[mine])
             if trainer:
-                flat = np.concatenate([p.ravel() for p in trainer.parts]).astype(np.float64)
+                flat = np.concatenate([p.ravel() for p in (*trainer.parts, *trainer.squares)]).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * trainer.tokens),
                      pa.array(np.full(len(flat), float(trainer.tokens)))], ["i", "x", "w"])
@@ -372,7 +373,8 @@ def train(ready: DataFrame, known: Vocabulary) -> Model:
         learned = blocks.select("block", "train", "sizes", "z", "rare").mapInArrow(run, "i int, x double, w double")
         rows = learned.groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).toArrow()      # one number a parameter
         if rows.num_rows:
-            model = model.with_parameters(rows["x"].to_numpy()[np.argsort(rows["i"].to_numpy())])
+            flat = rows["x"].to_numpy()[np.argsort(rows["i"].to_numpy())]
+            model, squares = (model.with_parameters(x) for x in np.split(flat, 2))
     return model
 
 
