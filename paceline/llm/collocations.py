@@ -259,88 +259,65 @@ class DoubleArray:
     leads to t = base[s] + c if check[t] == s.  ``number[t]``: the phrase that
     ends there, or -1.  The first symbol of a phrase is its language."""
 
-    def __init__(self, phrases: list[tuple[bytes, list[bytes]]]):
+    def __init__(self, phrases: list[tuple[str, list[bytes]]]):
         self.code: dict[bytes, int] = {}
         self.lang: dict[str, int] = {}
         children: list[dict[int, int]] = [{}]
-        accepted: dict[int, int] = {}
+        parent, symbol, accepted = [0], [0], {}
         for number, (lang, words) in enumerate(phrases):
             node = 0
-            for symbol in [self.lang.setdefault(lang, len(self.lang) + 1),
-                           *(self.code.setdefault(w, len(self.code) + 1) for w in words)]:
+            for c in [self.lang.setdefault(lang, len(self.lang) + 1),
+                      *(self.code.setdefault(w, len(self.code) + 1) for w in words)]:
                 below = children[node]
-                if symbol not in below:
-                    below[symbol] = len(children)
+                if c not in below:
+                    below[c] = len(children)
                     children.append({})
-                node = below[symbol]
+                    parent.append(node)
+                    symbol.append(c)
+                node = below[c]
             accepted[node] = number
-        self._place(children, accepted)
-
-    def _place(self, children: list[dict[int, int]], accepted: dict[int, int]) -> None:
-        width = max(len(self.code), len(self.lang)) + 2
-        size = 4 * len(children) + 2 * width
-        base, check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
-        used = np.zeros(size, bool)
-        used[0] = True
-        state = {0: 0}
-        tries, floor = np.arange(256), 1
-        pending = [0]
-        single = []
-        while pending:
-            # states of one level; the widest first, single children fill the gaps
-            pending.sort(key=lambda n: -len(children[n]))
-            below = []
-            for node in pending:
-                kids = children[node]
-                if len(kids) == 1:
-                    single.append(node)
-                elif kids:
-                    codes = np.fromiter(kids, np.int64, len(kids))
-                    low, at = int(codes.min()), floor
-                    while True:
-                        while at + len(tries) + width >= len(used):
-                            base, check, used = (np.concatenate((x, np.full(len(x), f, x.dtype)))
-                                                 for x, f in ((base, 0), (check, -1), (used, False)))
-                        free = ~used[(at - low + tries)[:, None] + codes].any(axis=1) if len(codes) < 64 else np.array(
-                            [not used[at - low + t + codes].any() for t in tries])
-                        if free.any():
-                            start = at - low + int(np.argmax(free))
-                            break
-                        at += len(tries)
-                    if at - floor > 64 * len(tries):
-                        floor += len(tries)
-                    self._set(node, start, codes, kids, state, base, check, used)
-                    below += kids.values()
-            if single:
-                slots = np.flatnonzero(~used)
-                slots = slots[slots > width]                    # keeps bases positive
-                if len(slots) < len(single):
-                    grow = len(used) + len(single)
-                    base, check, used = (np.concatenate((x, np.full(grow, f, x.dtype)))
-                                         for x, f in ((base, 0), (check, -1), (used, False)))
-                    slots = np.flatnonzero(~used)
-                    slots = slots[slots > width]
-                for node, slot in zip(single, slots.tolist()):
-                    (code, kid), = children[node].items()
-                    self._set(node, slot - code, np.array([code]), {code: kid}, state, base, check, used)
-                    below.append(kid)
-                single = []
-            pending = below
-        last = int(np.flatnonzero(used)[-1]) + width + 1
-        self.base = np.zeros(last, np.int32)
-        self.check, self.number = np.full(last, -1, np.int32), np.full(last, -1, np.int32)
-        n = min(last, len(base))
-        self.base[:n], self.check[:n] = base[:n], check[:n]
-        for node, number in accepted.items():
-            self.number[state[node]] = number
+        start, size = self._place(children, max(len(self.code), len(self.lang)) + 1)
+        parent, symbol = np.array(parent), np.array(symbol)
+        state = start[parent] + symbol
+        state[0] = 0
+        self.base = np.zeros(size, np.int32)
+        self.check, self.number = np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        self.base[state] = start
+        self.check[state[1:]] = state[parent[1:]]
+        self.number[state[list(accepted)]] = list(accepted.values())
 
     @staticmethod
-    def _set(node, start, codes, kids, state, base, check, used):
-        base[state[node]] = start
-        used[start + codes] = True
-        check[start + codes] = state[node]
-        for code, kid in kids.items():
-            state[kid] = start + code
+    def _place(children: list[dict[int, int]], width: int) -> tuple[np.ndarray, int]:
+        """Base of each state, so that no two children share a slot: the
+        widest states first, single children into what is left."""
+        rng, counts = np.random.default_rng(13), np.array([len(c) for c in children])
+        end = 6 * len(children) + 4 * width             # slots of lowest children; others lie up to a width behind
+        used = np.zeros(end + width, bool)
+        used[:width] = True                             # keeps bases positive, and slot 0 for the root
+        start = np.zeros(len(children), np.int64)
+        for node in np.argsort(-counts, kind="stable")[:(counts > 1).sum()].tolist():
+            codes = np.sort(np.fromiter(children[node], np.int64, counts[node]))
+            reach = 1 << 12 if len(codes) < 1000 else 1 << 6
+            while not start[node]:
+                low = int(rng.integers(width, max(width + 1, end - reach)))
+                if reach > 1 << 18:                     # a fresh area always has room
+                    low, end = end + width, end + 4 * width
+                    used = np.append(used, np.zeros(4 * width, bool))
+                slots = low + np.flatnonzero(~used[low:min(low + reach, end)])
+                for code in codes[1:].tolist():
+                    slots = slots[~used[slots + (code - codes[0])]]
+                    if not len(slots):
+                        break
+                if len(slots):
+                    start[node] = slots[0] - codes[0]
+                    used[start[node] + codes] = True
+                reach *= 2
+        single = np.flatnonzero(counts == 1)
+        slots = np.flatnonzero(~used)
+        if len(slots) < len(single):
+            slots = np.append(slots, len(used) + np.arange(len(single)))
+        start[single] = slots[:len(single)] - [next(iter(children[n])) for n in single.tolist()]
+        return start, int(max(len(used), slots[len(single) - 1] + 1 if len(single) else 0)) + width
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         """Code of each word; 0: in no phrase."""
