@@ -52,12 +52,12 @@ KNOWN = 1 << 17
 KNOWN_BYTES = 64
 CLASSES = 64
 CONTEXT = 2
-DIMENSIONS = 24
-NOISE = 32
+DIMENSIONS = 16
+NOISE = 24
 RATE = 0.3
 MINIBATCH = 2048
 FIRST_PART = 8               # one block in so many trains before the others
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 END = 0
 ADDED = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -231,11 +231,21 @@ def _with_rare_counts(blocks: DataFrame, counts: DataFrame, known: Vocabulary) -
 
 def _scatter(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of ``rows`` by ``at``."""
-    out = np.zeros((n, *rows.shape[1:]), np.float32)
-    order = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.append(True, np.diff(at[order]) != 0))
-    out[at[order][first]] = np.add.reduceat(rows[order], first)
-    return out
+    d = rows.shape[1]
+    places = (at[:, None] * d + np.arange(d)).ravel()
+    return np.bincount(places, rows.ravel(), n * d).reshape(n, d)
+
+
+def _different(code: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index of one place of every different code, which of them each is)."""
+    if most > 1 << 22:
+        return np.unique(code, return_index=True, return_inverse=True)[1:]
+    place = np.full(most, -1, np.int64)
+    place[code] = np.arange(len(code))
+    used = np.flatnonzero(place >= 0)
+    number = np.empty(most, np.int64)
+    number[used] = np.arange(len(used))
+    return place[used], number[code]
 
 
 class Model:
@@ -277,7 +287,7 @@ class Model:
         code = np.zeros(len(symbols), np.int64)
         for i in range(CONTEXT):
             code = code * len(self.parts[3]) + contexts[:, i]
-        _, first, which = np.unique(code, return_index=True, return_inverse=True)
+        first, which = _different(code, len(self.parts[3]) ** CONTEXT)
         predicted = self.predicted(contexts[first])
         norm = self.log_normaliser(predicted)
         out = np.empty(len(symbols))
@@ -298,10 +308,9 @@ class Trainer:
         self.tokens = 0
 
     def text(self, symbols: np.ndarray, contexts: np.ndarray) -> None:
-        order = self.rng.permutation(len(symbols))
-        for i in range(0, len(order), MINIBATCH):
-            pick = order[i:i + MINIBATCH]
-            self.step(symbols[pick], contexts[pick])
+        batches = -(-len(symbols) // MINIBATCH)             # each from all over the text
+        for i in self.rng.permutation(batches).tolist():
+            self.step(symbols[i::batches], contexts[i::batches])
         self.tokens += len(symbols)
 
     def step(self, target: np.ndarray, contexts: np.ndarray) -> None:
@@ -319,7 +328,7 @@ class Trainer:
         d_out = _scatter(target, up[:, None] * predicted, s)
         d_out += _scatter(noise, down.T @ predicted, s)
         d_bias = np.bincount(target, up, s) + np.bincount(noise, down.sum(axis=0), s)
-        d_vectors = sum(_scatter(contexts[:, i], d_predicted @ turn[i].T, s) for i in range(CONTEXT))
+        d_vectors = _scatter(contexts.T.ravel(), np.concatenate([d_predicted @ turn[i].T for i in range(CONTEXT)]), s)
         d_turn = np.stack([b.T @ d_predicted for b in before])
         for part, square, slope in zip(self.parts, self.squares, (d_vectors, d_turn, d_out, d_bias)):
             slope = (slope / n).astype(np.float32)
