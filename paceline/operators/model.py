@@ -90,6 +90,50 @@ def dim_date(silver: DataFrame) -> DataFrame:
     )
 
 
+# ------------------------------------------------- mergeable dimension states
+#
+# Each dimension as an aggregate that can be merged: the state of old and new
+# rows together is the merged state of both.  A state's first columns are the
+# published dimension; the athletes' also carries the order key of the row
+# that won.
+
+ATHLETE_COLUMNS = ["athlete_id", *ATHLETE_ATTRIBUTES]
+_ORDER_KEY = {"latest_year": "year_of_event", "latest_date": "event_start_date", "latest_event": "event_id"}
+
+
+def _latest(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Per athlete the row with the greatest (order key, attributes); rows
+    without a year never win."""
+    won = F.when(F.col(order[0]).isNotNull(), F.struct(
+        *[F.col(c).alias(k) for c, k in zip(order, _ORDER_KEY)], *ATHLETE_ATTRIBUTES))
+    latest = rows.groupBy("athlete_id").agg(F.max(won).alias("_latest"))
+    return latest.select("athlete_id", *[F.col(f"_latest.{c}").alias(c) for c in (*ATHLETE_ATTRIBUTES, *_ORDER_KEY)])
+
+
+def athlete_state(silver: DataFrame) -> DataFrame:
+    return _latest(silver, list(_ORDER_KEY.values()))
+
+
+def merge_athletes(states: DataFrame) -> DataFrame:
+    return _latest(states, list(_ORDER_KEY))
+
+
+def merge_events(states: DataFrame) -> DataFrame:
+    return states.groupBy("event_id").agg(*[F.max(c).alias(c) for c in EVENT_COLUMNS[1:]])
+
+
+def merge_dates(states: DataFrame) -> DataFrame:
+    return states.distinct()
+
+
+# name: (state of rows, merged states, published columns)
+DIMENSIONS = {
+    "dim_athlete": (athlete_state, merge_athletes, ATHLETE_COLUMNS),
+    "dim_event": (dim_event, merge_events, EVENT_COLUMNS),
+    "dim_date": (dim_date, merge_dates, DATE_COLUMNS),
+}
+
+
 class StarSchema:
     """The four gold relations over one silver frame (lazy)."""
 

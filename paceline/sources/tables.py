@@ -1,34 +1,105 @@
 """Layer storage S5-S12: parquet tables under one root, one folder per layer.
 
 S10: ``Layers(root)`` lays out ``root/{bronze,silver,gold}/<table>`` with
-checkpoints beside them under ``root/_checkpoints``.  S11: a full refresh
-takes a new root (data and checkpoints together), nothing is deleted.
-S12: a table's comment is the docstring of the function that defines it.
+checkpoints beside them under ``root/_checkpoints``; ``sources.catalog`` puts
+named schemas over them.  S11: a dataset that was reset lives in a folder of a
+new generation, data and checkpoint together; ``open_layers`` reads which
+generation counts.  S12: ``with_comment`` stores a table's comment in the
+footers of its files, ``comment_of`` reads it back.
+
+What counts is recorded in commit logs: small append-only Parquet tables, one
+row a commit, which Spark commits whole or not at all.  A log has one writer
+at a time.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 _ANY_AGE = "36500d"
+_COMMENT = "table_comment"
 
 
 @dataclass(frozen=True)
 class Layers:
+    """Paths of all datasets.  ``generations``: (dataset "layer.name",
+    generation) of those that were reset since the root was made."""
+
     root: str
+    generations: tuple[tuple[str, str], ...] = ()
 
     def landing(self, source: str) -> str:
         return f"{self.root}/landing/{source}"
 
+    def archive(self, source: str) -> str:
+        """Where finished files of a source go."""
+        return f"{self.root}/landed/{source}"
+
+    def _of(self, layer: str, name: str) -> str:
+        generation = dict(self.generations).get(f"{layer}.{name}")
+        return f"{layer}/{name}" if generation is None else f"{layer}/{name}-{generation}"
+
     def table(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}"
+        return f"{self.root}/{self._of(layer, name)}"
 
     def checkpoint(self, layer: str, name: str) -> str:
-        return f"{self.root}/_checkpoints/{layer}/{name}"
+        return f"{self.root}/_checkpoints/{self._of(layer, name)}"
+
+
+def open_layers(spark: SparkSession, root: str) -> Layers:
+    """The root's layout as of its last published reset."""
+    published = {r.dataset: r.generation for r in _log(spark, f"{root}/generations", _GENERATION)}
+    return Layers(root, tuple(sorted(published.items())))
+
+
+def next_generation(layers: Layers, datasets: list[str]) -> Layers:
+    """``datasets`` ("layer.name") moved to a new, empty generation each.
+    Nothing is published: whoever opens the root still gets the old ones."""
+    generation = uuid.uuid4().hex
+    return replace(layers, generations=tuple(sorted({**dict(layers.generations),
+                                                     **{d: generation for d in datasets}}.items())))
+
+
+def publish_generations(spark: SparkSession, layers: Layers) -> None:
+    """Make the generations of ``layers`` those that count, all in one commit."""
+    _commit(spark, f"{layers.root}/generations", _GENERATION, list(layers.generations))
+
+
+_GENERATION = "number long, dataset string, generation string"
+_VERSION = "number long, folder string, batch long, expired boolean"
+
+
+def _log(spark: SparkSession, path: str, schema: str) -> list[Row]:
+    """The rows of a commit log, oldest first."""
+    try:
+        return sorted(spark.read.schema(schema).parquet(path).collect())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def _commit(spark: SparkSession, path: str, schema: str, rows: list[tuple]) -> None:
+    """Append ``rows`` to a commit log under the next number."""
+    if rows:
+        number = max((r.number for r in _log(spark, path, schema)), default=0) + 1
+        spark.createDataFrame([(number, *r) for r in rows], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def with_comment(df: DataFrame, comment: str) -> DataFrame:
+    """``df`` whose files will carry ``comment`` in their footers."""
+    first = df.columns[0]
+    return df.withMetadata(first, {**df.schema[first].metadata, _COMMENT: comment})
+
+
+def comment_of(spark: SparkSession, path: str) -> str | None:
+    """The comment in the footers of the files at ``path``."""
+    return spark.read.parquet(path).schema[0].metadata.get(_COMMENT)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -69,38 +140,46 @@ def append_available(df: DataFrame, path: str, checkpoint: str, name: str | None
     return query
 
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Full recompute of a materialized table, as a new version.
-
-    Every version is a folder of its own, and counts once Spark has committed
-    it (``_SUCCESS``).  A refresh that fails leaves the version before it.
-    """
-    versions = _versions(df.sparkSession, path)
-    df.write.parquet(f"{path}/v{versions[-1] + 1 if versions else 1:08d}-{uuid.uuid4().hex}")
+def overwrite(df: DataFrame, path: str, batch: int = -1) -> None:
+    """A materialized table replaced, as a new version in a folder of its
+    own.  It counts once its row is in the commit log; a refresh that fails
+    leaves the version before it.  ``batch``: the micro-batch it includes."""
+    spark = df.sparkSession
+    folder = f"{path}/v{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    _commit(spark, f"{path}/commits", _VERSION, [(folder, batch, False)])
 
 
-def _versions(spark: SparkSession, path: str, names: dict[int, str] | None = None) -> list[int]:
-    """Numbers of the committed versions, ascending."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
-    names = {} if names is None else names
-    for status in found or ():
-        folder = status.getPath().getParent()
-        names[int(folder.getName()[1:9])] = folder.toString()
-    return sorted(names)
+def current_version(spark: SparkSession, path: str) -> Row | None:
+    """(number, folder, batch) of the version that counts."""
+    live = [r for r in _log(spark, f"{path}/commits", _VERSION) if not r.expired]
+    return live[-1] if live else None
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The last committed version of a table that ``overwrite`` writes."""
-    names: dict[int, str] = {}
-    versions = _versions(spark, path, names)
-    if not versions:
+    version = current_version(spark, path)
+    if version is None:
         raise FileNotFoundError(f"no committed version in {path}")
-    return spark.read.parquet(names[versions[-1]])
+    return spark.read.parquet(version.folder)
+
+
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Empty the folders of all but the last ``keep`` versions; how many.
+    Readers that began before the last ``keep`` refreshes are not protected."""
+    rows = _log(spark, f"{path}/commits", _VERSION)
+    gone = {r.folder for r in rows if r.expired}
+    old = [r for r in rows if not r.expired and r.folder not in gone][:-keep]
+    for r in old:
+        schema = spark.read.parquet(r.folder).schema
+        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(r.folder)
+    _commit(spark, f"{path}/commits", _VERSION, [(r.folder, r.batch, True) for r in old])
+    return len(old)
 
 
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
-    """Lazy logical views (re-evaluated on every use)."""
+    """S9 in one session: lazy views over DataFrames (see ``sources.catalog``
+    for views that outlive it)."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
 
