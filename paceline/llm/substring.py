@@ -3,23 +3,28 @@
 A window of ``window`` consecutive words is removed when the same words also
 start earlier: in a document with a smaller id, or earlier in the document.
 
-Level 1 looks at windows of half the length.  A long window can only repeat
-if every half-length window inside it repeats, so one of them, chosen by its
-content alone (the smallest hash, leftmost), stands for it; equal windows
-choose the same one.  About one half-length window in six is chosen, and the
-chosen ones that occur once in the whole corpus rule out all windows they
-stand for.  Level 2 extends the others to twice the length and finds for each
-of their windows the first place where it starts.  Every other candidate is
-removed.
+The lengths of the levels double: from at most ``BASE`` words up to the window
+(10 and 20; 10, 20, 40 and 80).  A long window can only repeat if every shorter
+window inside it repeats, so at each level one of them, chosen by its content
+alone (the smallest hash, leftmost), stands for it; equal windows choose the
+same one.  At 10 of 20 words about one in six is chosen.  The chosen ones that
+occur once in the whole corpus rule out all windows they stand for, and only
+the others go on to twice the length, until none is left or the last level
+finds for each whole window the first place where it starts.  Every other
+candidate is removed.
 
 Nothing but (hash, document, number) rows is grouped: counts and first places
 are pre-aggregated before the shuffle, so a passage in a third of all
-documents leaves each task as one row.  Both levels answer with the numbers of
+documents leaves each task as one row.  Each level answers with the numbers of
 a document's windows, which come back by document id; the texts travel
 compressed and are cut up in the task that holds them.
 
-Words are maximal runs without ASCII white space, compared byte by byte
-through 64-bit hashes.  Null and empty texts have no words.  Rows that share a
+Hashes: a word's is XXH3 of its bytes, a window's is mixed from those of two
+shorter ones, so no pattern of letters or words cancels out.  At the shorter
+lengths equal hashes of different windows only let a candidate through; whole
+windows are told apart by two hashes of 64 bits with different seeds.
+
+Words are maximal runs without ASCII white space.  Null and empty texts have no words.  Rows that share a
 doc_id follow one another by a hash of their text; a null doc_id comes last.
 Removing everything leaves an empty text; extra columns stay as they are.
 """
@@ -31,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +45,11 @@ from pyspark.sql import types as T
 from paceline.llm.common import spool
 
 WINDOW = 20
-_MASK = (1 << 64) - 1
+BASE = 10
 _LAST = (1 << 63) - 1
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_SPACE = np.zeros(256, np.int8)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,94 +58,112 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.up) < n:
-            k = len(self.up)
-            self.up = np.concatenate((self.up, self.up * np.uint64(pow(self.base, k, 1 << 64))))
-            self.down = np.concatenate((self.down, self.down * np.uint64(pow(self.inverse, k, 1 << 64))))
-        return self.up[:n], self.down[:n]
-
-
-_BYTE_POWERS, _WORD_POWERS = Powers(0x9E3779B97F4A7C15), Powers(0xD6E8FEB86659FD93)
-_BYTE_VALUES = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_SPACE = np.zeros(256, np.int8)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = 1
-
-
 def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges of the words."""
     edge = np.diff(_SPACE[np.frombuffer(raw, np.uint8)], prepend=1, append=1)
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
-def _ranges(values: np.ndarray, powers: Powers, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] for each range."""
-    up, down = powers.upto(len(values) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[:len(values)])))
-    return _mix((sums[end] - sums[start]) * down[start])
+class _WordHashes(dict):
+    def __init__(self, seed: int):
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word, self.seed)
+        return h
+
+
+_HASHES = [_WordHashes(0), _WordHashes(1)]
 
 
 def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every k consecutive words (none if there are fewer)."""
-    at = np.arange(max(0, len(words) - k + 1))
-    return _ranges(words, _WORD_POWERS, at, at + k)
+    """Hash of every k consecutive words (none if there are fewer): two
+    windows of half the length, then two that overlap for what is left."""
+    h, width = words, 1
+    while width < k and len(h):
+        step = min(width, k - width)
+        h = _mix(_mix(h[:-step] if step < len(h) else h[:0]) + h[step:] * _MIX1)
+        width += step
+    return h
+
+
+def levels(window: int) -> list[int]:
+    """Lengths below the window's: each at least half of the next."""
+    lengths, n = [], window
+    while not lengths or n > BASE:
+        n = (n + 1) // 2
+        lengths.insert(0, n)
+    return lengths
 
 
 class Windows:
-    """The windows of one text."""
+    """The windows of one text.  ``alone``: for each level so far, the numbers
+    of the chosen shorter windows that no other place of the corpus has."""
 
     def __init__(self, text: str | None, window: int):
         self.raw, self.window = (text or "").encode(), window
-        self.start, self.end = word_spans(self.raw)
-        self.n = len(self.start)
-        self.hashes = np.array([], np.uint64)
-        if self.n >= window:
-            letters = _BYTE_VALUES[np.frombuffer(self.raw, np.uint8)]
-            self.hashes = _ranges(letters, _BYTE_POWERS, self.start, self.end)
-
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct hashes of the chosen half-length windows, how often each
-        was chosen, and for every window the number of its hash."""
-        if self.n < self.window:
+        self.words = self.raw.split()
+        self.n = len(self.words)
+
+    def hashes(self, which: int = 0) -> np.ndarray:
+        of = _HASHES[which]
+        return np.fromiter((of[w] for w in self.words), np.uint64, self.n)
+
+    def anchors(self, at: np.ndarray, words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the windows ``at``: distinct hashes of the chosen windows of
+        ``length`` words, how often each was chosen, and every window's one."""
+        if not len(at):
             none = np.array([], np.int64)
             return none.astype(np.uint64), none, none
-        half = self.window // 2
-        g = window_hashes(self.hashes, half)
-        inside = np.lib.stride_tricks.sliding_window_view(g, self.window - half + 1)
-        place = inside.argmin(axis=1) + np.arange(len(inside))
+        g = window_hashes(words, length)
+        inside = np.lib.stride_tricks.sliding_window_view(g, self.window - length + 1)
+        place = (inside if len(at) == len(inside) else inside[at]).argmin(axis=1) + at
         chosen, of_window = np.unique(place, return_inverse=True)
         hashes, number, count = np.unique(g[chosen], return_inverse=True, return_counts=True)
         return hashes, count, number[of_window]
 
-    def candidates(self, unique: np.ndarray) -> np.ndarray:
-        """Positions of the windows that may repeat; ``unique``: numbers of
-        the anchors that no other document has."""
-        hashes, count, of_window = self.anchors()
-        alone = np.zeros(len(hashes), bool)
-        alone[unique] = True
-        alone &= count == 1
-        return np.flatnonzero(~alone[of_window])
-
-    def long_hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the candidate windows: distinct hashes, first place of each, number of each window."""
-        h = _ranges(self.hashes, _WORD_POWERS, at, at + self.window)
-        hashes, first, number = np.unique(h, return_index=True, return_inverse=True)
-        return hashes, at[first], number
-
-    def covered(self, unique: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    def candidates(self, alone: list[np.ndarray], words: np.ndarray) -> np.ndarray:
+        """Positions of the windows that no level so far has ruled out."""
+        at = np.arange(max(0, self.n - self.window + 1))
+        for length, unique in zip(levels(self.window), alone):
+            hashes, count, of_window = self.anchors(at, words, length)
+            once = np.zeros(len(hashes), bool)
+            once[unique] = True
+            once &= count == 1
+            at = at[~once[of_window]]
+        return at
+
+    def chosen(self, alone: list[np.ndarray]) -> np.ndarray:
+        """Hashes that the next level asks about."""
+        if self.n < self.window:
+            return np.array([], np.uint64)
+        words = self.hashes()
+        return self.anchors(self.candidates(alone, words), words, levels(self.window)[len(alone)])[0]
+
+    def whole(self, alone: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The candidates, their distinct double hashes, first place of each, number of each."""
+        none = np.array([], np.int64)
+        if self.n < self.window:
+            return none, np.zeros((0, 2), np.uint64), none, none
+        words = self.hashes()
+        at = self.candidates(alone, words)
+        if not len(at):
+            return at, np.zeros((0, 2), np.uint64), none, none
+        pair = np.stack([window_hashes(h, self.window)[at] for h in (words, self.hashes(1))], axis=1)
+        order = np.lexsort((pair[:, 1], pair[:, 0]))              # stable: places ascend within equal pairs
+        new = np.append(True, (np.diff(pair[order], axis=0) != 0).any(axis=1))
+        number = np.empty(len(at), np.int64)
+        number[order] = np.cumsum(new) - 1
+        return at, pair[order[new]], at[order[new]], number
+
+    def covered(self, alone: list[np.ndarray], firsts: np.ndarray) -> np.ndarray:
         """Which words go; ``firsts``: numbers of the candidate hashes whose
         first place is in this document."""
         edge = np.zeros(self.n + 1, np.int64)
-        at = self.candidates(unique)
+        at, hashes, first, number = self.whole(alone)
         if len(at):
-            hashes, first, number = self.long_hashes(at)
             ours = np.zeros(len(hashes), bool)
             ours[firsts] = True
             gone = at[~(ours[number] & (at == first[number]))]
@@ -149,18 +175,19 @@ class Windows:
         """The text without the words of ``gone`` and the space after them."""
         if not gone.any():
             return self.raw.decode()
-        upto = np.append(self.start[1:], len(self.raw))
+        start, _ = word_spans(self.raw)
+        upto = np.append(start[1:], len(self.raw))
         edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
         parts, at = [], 0
         for a, b in zip(edge[::2], edge[1::2]):
-            parts.append(self.raw[at:self.start[a]])
+            parts.append(self.raw[at:start[a]])
             at = upto[b - 1]
         parts.append(self.raw[at:])
         return b"".join(parts).decode()
 
     def kept_digest(self, gone: np.ndarray) -> str:
         """SHA-256 of the kept words joined by one space."""
-        words = self.raw.split()
+        words = self.words
         if gone.any():
             words = [words[i] for i in np.flatnonzero(~gone)]
         return hashlib.sha256(b" ".join(words)).hexdigest()
@@ -187,24 +214,11 @@ def _lists(rows: DataFrame, name: str) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, want_text: bool = True) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_sha256; with ``want_text``
     the text is what is left, else it is dropped."""
-    if window < 2 or window % 2:
-        raise ValueError("the window must be an even number of words")
+    if window < 2:
+        raise ValueError("a window has two words or more")
     packed = _keyed(docs)
     keyed = packed.select("doc", "text")
 
-    def level1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for at in range(0, batch.num_rows, 256):
-                rows = [(d, Windows(t.as_py(), window).anchors()[0])
-                        for d, t in zip(ids[at:at + 256], batch.column(1).slice(at, 256))]
-                yield _hash_rows(rows)
-
-    anchors = keyed.mapInArrow(level1, "h long, doc long, number int")
-    unique = _lists(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc"),
-                                             F.min("number").alias("number")).filter("n = 1"), "uniq")
-    unique = spool(unique, "substring-unique")
-
     others = [c for c in docs.columns if c != "text"]
     row_type = packed.schema["row"].dataType
     z_schema = T.StructType([T.StructField("row", row_type), T.StructField("doc", T.LongType()),
@@ -219,24 +233,56 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, want_text: bool = True
         for z in batch.column(column):
             yield Windows(None if (v := z.as_py()) is None else unpack.decompress(v).decode(), window)
 
-    def level2(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(level: int):
+        """Rows (hash, document, number) of a level's chosen windows."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = [_int_lists(c) for c in batch.columns[2:]]
+                rows = []
+                for d, w in zip(batch.column(0).to_numpy(), texts(batch, 1)):
+                    rows.append((d, w.chosen([next(x) for x in lists])))
+                    if len(rows) == 256:
+                        yield _hash_rows(rows)
+                        rows = []
+                yield _hash_rows(rows)
+        return run
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lists = [_int_lists(c) for c in batch.columns[2:]]
             rows = []
-            for d, w, u in zip(batch.column(0).to_numpy(), texts(batch, 1), _int_lists(batch.column(2))):
-                at = w.candidates(u)
-                if len(at):
-                    rows.append((d, w.long_hashes(at)[0]))
-                if sum(len(h) for _, h in rows) > 200_000:
-                    yield _hash_rows(rows)
+            for d, w in zip(batch.column(0).to_numpy(), texts(batch, 1)):
+                hashes = w.whole([next(x) for x in lists])[1]
+                if len(hashes):
+                    rows.append((d, hashes[:, 0], hashes[:, 1]))
+                if sum(len(r[1]) for r in rows) > 200_000:
+                    yield _hash_rows(rows, ("h", "i"))
                     rows = []
-            yield _hash_rows(rows)
+            yield _hash_rows(rows, ("h", "i"))
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The first level reads the texts as they are."""
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for at in range(0, batch.num_rows, 256):
+                yield _hash_rows([(d, Windows(t.as_py(), window).chosen([]))
+                                  for d, t in zip(ids[at:at + 256], batch.column(1).slice(at, 256))])
 
     small = keyed.mapInArrow(lambda batches: (
         pa.RecordBatch.from_arrays([b.column(0), _squeezed(b.column(1))], ["doc", "z"]) for b in batches),
         "doc long, z binary")
-    long = (small.join(unique, "doc", "left").select("doc", "z", "uniq")
-            .mapInArrow(level2, "h long, doc long, number int"))
-    firsts = _lists(long.groupBy("h").agg(F.min("doc").alias("doc"), F.min_by("number", "doc").alias("number")),
+    answers: list[DataFrame] = []
+    asked = keyed.mapInArrow(plain, "h long, doc long, number int")
+    for level in range(len(levels(window))):
+        if level:
+            asked = _joined(small, answers).mapInArrow(ask(level), "h long, doc long, number int")
+            if asked.isEmpty():                          # no candidates survive
+                break
+        once = asked.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc"),
+                                      F.min("number").alias("number")).filter("n = 1")
+        answers.append(spool(_lists(once, f"alone{level}"), "substring-alone"))
+    long = _joined(small, answers).mapInArrow(whole, "h long, i long, doc long, number int")
+    firsts = _lists(long.groupBy("h", "i").agg(F.min("doc").alias("doc"), F.min_by("number", "doc").alias("number")),
                     "firsts")
 
     out_fields = [*row_type.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -248,9 +294,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, want_text: bool = True
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, n_words, n_removed, digest = [], [], [], []
-            lists = zip(_int_lists(batch.column(2)), _int_lists(batch.column(3)))
-            for z, w, (u, f) in zip(batch.column(1), texts(batch, 1), lists):
-                gone = w.covered(u, f)
+            lists = zip(*[_int_lists(c) for c in batch.columns[2:]])
+            for z, w, (f, *alone) in zip(batch.column(1), texts(batch, 1), lists):
+                gone = w.covered(alone, f)
                 if want_text:
                     text.append(w.kept_text(gone) if z.is_valid else None)
                 n_words.append(w.n)
@@ -260,13 +306,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, want_text: bool = True
                     pa.array(digest, pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), *cols] if want_text else cols, names)
 
-    marked = (packed.mapInArrow(squeeze, z_schema).join(unique, "doc", "left").join(firsts, "doc", "left")
-              .select("row", "z", "uniq", "firsts"))
+    marked = _joined(packed.mapInArrow(squeeze, z_schema).join(firsts, "doc", "left"), answers).drop("doc")
     result = marked.mapInArrow(finish, T.StructType(out_fields))
     order = docs.columns if want_text else others
     return result.select(*[F.col(f"`{c}`") for c in order], "n_words", "n_removed", "kept_sha256")
 
 
+def _joined(texts: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    """``texts`` with the answers of all levels so far, in their order."""
+    for answer in answers:
+        texts = texts.join(answer, "doc", "left")
+    return texts
+
+
 def _squeezed(column: pa.Array) -> pa.Array:
     pack = zstandard.ZstdCompressor(level=3)
     return pa.array([None if (v := t.as_py()) is None else pack.compress(v.encode()) for t in column], pa.binary())
@@ -277,11 +329,12 @@ def _int_lists(column: pa.Array) -> Iterator[np.ndarray]:
         yield x.values.to_numpy() if x.is_valid else np.array([], np.int64)
 
 
-def _hash_rows(rows: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    """(h, doc, number) of every hash of every document."""
-    sizes = [len(h) for _, h in rows]
-    hashes = np.concatenate([h for _, h in rows]) if rows else np.array([], np.uint64)
-    docs = np.repeat(np.array([d for d, _ in rows], np.int64), sizes)
+def _hash_rows(rows: list[tuple], names: tuple[str, ...] = ("h",)) -> pa.RecordBatch:
+    """(hashes, doc, number) of every hash of every document; ``rows``: (doc, hashes of each name)."""
+    sizes = [len(r[1]) for r in rows]
+    none = np.array([], np.uint64)
+    hashes = [np.concatenate([r[1 + j] for r in rows]) if rows else none for j in range(len(names))]
+    docs = np.repeat(np.array([r[0] for r in rows], np.int64), sizes)
     number = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]) if rows else np.array([], np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(docs), pa.array(number)],
-                                      ["h", "doc", "number"])
+    return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(h).view(np.int64)) for h in hashes), pa.array(docs),
+                                       pa.array(number)], [*names, "doc", "number"])

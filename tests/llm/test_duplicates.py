@@ -31,7 +31,7 @@ def repeats(rows, window):
     return out
 
 
-@pytest.mark.parametrize("window", [20, 6])
+@pytest.mark.parametrize("window", [20, 6, 21, 2, 45])
 def test_substring_dedup_equals_brute_force(spark, passages, window):
     found = substring.remove_repeats(spark.createDataFrame(passages, TEXTS), window).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == repeats(passages, window)
@@ -39,6 +39,31 @@ def test_substring_dedup_equals_brute_force(spark, passages, window):
         assert hashlib.sha256(b" ".join((r.text or "").encode().split())).hexdigest() == r.kept_sha256
 
 
+def test_levels_double_up_to_the_window():
+    assert [substring.levels(w) for w in (2, 6, 20, 21, 80)] == [[1], [3], [10], [6, 11], [10, 20, 40]]
+
+
+def test_windows_are_told_apart_whatever_their_letters(spark):
+    """Two words that polynomial hashes modulo 2^64 cannot tell apart."""
+    morse = "a"
+    while len(morse) < 1024:
+        morse += morse.translate({97: "b", 98: "a"})
+    other = morse.translate({97: "b", 98: "a"})
+    tail = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{morse} {tail}"), (2, f"{other} {tail}"), (3, f"{morse} {tail}")]
+    found = substring.remove_repeats(spark.createDataFrame(rows, TEXTS)).collect()
+    assert {r.doc_id: r.n_removed for r in found} == {1: 0, 2: 0, 3: 20}
+    words = [b"a" if c == "a" else b"b" for c in morse]                      # and as a sequence of words
+    h = [np.array([substring._HASHES[0][w] for w in ws], np.uint64) for ws in (words, [b"b" if w == b"a" else b"a" for w in words])]
+    assert substring.window_hashes(h[0], 1024) != substring.window_hashes(h[1], 1024)
+
+
+def test_substring_dedup_stops_when_no_candidate_is_left(spark):
+    rows = [(i, " ".join(f"w{i}-{j}" for j in range(200))) for i in range(5)]
+    found = substring.remove_repeats(spark.createDataFrame(rows, TEXTS), 80).collect()
+    assert [r.n_removed for r in found] == [0] * 5
+
+
 def test_substring_dedup_of_odd_rows(odd_docs, no_docs):
     got = substring.remove_repeats(odd_docs).collect()
     assert len(got) == odd_docs.count() and set(odd_docs.columns) < set(got[0].asDict())
