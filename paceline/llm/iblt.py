@@ -10,36 +10,44 @@ other cells, and so on (peeling).  If cells stay, the pair is sketched anew
 with twice the cells, until every pair is peeled.
 
 Likeness of two texts: shared paragraph digests / all paragraph digests of
-both (1 if neither has any).  The published fingerprint is the text's sketch
-of the smallest size, in hexadecimal, so equal texts have equal fingerprints.
+both (1 if neither has any), from the recovered digests.  The published
+fingerprint is the text's smallest sketch of the same family, in hexadecimal:
+its cells subtract like the others, and equal texts have equal fingerprints.
 
-Everything is DataFrame functions: sketches of a pair are rows (pair, cell),
-subtracted and peeled by grouped sums and XORs inside the partition that holds
-the document.  To find each document's successor, ids are cut into ranges by
-approximate quantiles; the first document of the next range joins a range as a
-guest, so every range is one sorted partition and the text moves once.
+Everything is DataFrame functions.  To find each document's successor, the
+order is cut into ranges of ``RANGE_BYTES``; the first document of the next
+range joins a range as a guest, so every range is one sorted partition and the
+text moves once.  What is left of it, the digests, is written as a table
+bucketed by range: sketches are rows (pair, cell), subtracted and peeled by
+grouped sums and XORs inside the bucket, without another shuffle.
 
 Null texts count as empty.  Documents follow one another by descending doc_id,
 null ids last, rows of one id by a hash of their text; a lone document is its
-own successor.  Extra columns are ignored.
+own successor.  Ranges cut within an id, so many rows of one id, or none, lie
+in many tasks; only rows that agree in id and text stay together.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paceline.llm.common import SPACE_CLASS, let, spool
+from paceline.session import fresh_dir
 
 HASHES = 4
 BASE_CELLS = 3          # cells a table in the published fingerprint
 LEAST_CELLS = 8         # cells a table when comparing
 CELLS_PER_DIGEST = 0.55  # a table, of the digests of both texts together
 PASSES = 6
-ROWS_PER_RANGE = 250
-MAX_RANGES = 100_000    # bounds the numbers that the driver holds
+RANGE_BYTES = 4 << 20   # of the texts in a range; one text may be longer
+MOST_RANGES = 100_000   # the driver holds two numbers of each; beyond, ranges grow
 _CUT = rf"\n|(?<=[.!?|*#$%&]){SPACE_CLASS}+"
 _LOWEST = -(1 << 63)
 
@@ -60,31 +68,20 @@ def cell_of(key: Column, table: int, size: Column) -> Column:
 
 
 def fingerprint(keys: Column, size: int = BASE_CELLS) -> Column:
-    """The sketch as text: count, key XOR and check XOR of every cell."""
+    """The sketch of ``size`` cells a table as text: count, key XOR and check
+    XOR of every cell."""
     def cell(table: int, c: int) -> Column:
-        mine = F.filter(keys, lambda k: F.pmod(F.shiftright(k, 3 * table), F.lit(size)) == c)
+        mine = F.filter(keys, lambda k: cell_of(k, table, F.lit(size)) == c * HASHES + table)
 
         def show(own: Column) -> Column:
             def fold(f) -> Column:
                 return F.aggregate(own, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(f(k)))
-            return F.concat(F.lpad(F.hex(F.size(own)), 4, "0"), F.lpad(F.hex(fold(lambda k: k)), 16, "0"),
+            return F.concat(F.lpad(F.hex(F.size(own)), 8, "0"), F.lpad(F.hex(fold(lambda k: k)), 16, "0"),
                             F.lpad(F.hex(fold(check_of)), 8, "0"))
         return let(mine, show)
     return F.lower(F.concat(*[cell(t, c) for t in range(HASHES) for c in range(size)]))
 
 
-def _range_of(key: Column, bounds: list[int]) -> Column:
-    """How many bounds are not above ``key``, found in two short steps."""
-    if not bounds:
-        return F.lit(0)
-    step = math.isqrt(len(bounds)) + 1
-    groups = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    coarse = F.size(F.filter(F.lit([g[0] for g in groups]), lambda b: b <= key))
-    inner = F.get(F.array(*[F.lit(g) for g in groups]), coarse - 1)
-    return F.when(coarse == 0, F.lit(0)).otherwise(
-        (coarse - 1) * step + F.size(F.filter(inner, lambda b: b <= key)))
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, text, key, tie): the documents' order is by key and tie, descending."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -92,48 +89,64 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("tie"))
 
 
-def with_successor(docs: DataFrame) -> DataFrame:
-    """(range, rid, doc_id, text, next_text, own and next (key, tie));
-    ``rid`` numbers a range's rows."""
+def _range_of(key: Column, tie: Column, heads: list[tuple[int, int]]) -> Column:
+    """The last range whose head is not behind (key, tie), found in two short
+    steps; ``heads``: the first row of each range, in the documents' order."""
+    def zipped(some: list[tuple[int, int]]) -> Column:
+        return F.arrays_zip(F.lit([k for k, _ in some]).alias("k"), F.lit([t for _, t in some]).alias("t"))
+
+    def not_behind(row: Column) -> Column:
+        return (row["k"] > key) | ((row["k"] == key) & (row["t"] >= tie))
+    step = math.isqrt(len(heads)) + 1
+    groups = [heads[i:i + step] for i in range(0, len(heads), step)]
+    coarse = F.size(F.filter(zipped([g[0] for g in groups]), not_behind)) - 1
+    inner = F.get(F.array(*[zipped(g) for g in groups]), coarse)
+    return coarse * step + F.size(F.filter(inner, not_behind)) - 1
+
+
+def with_successor(docs: DataFrame) -> tuple[DataFrame, int]:
+    """((range, rid, guest, doc_id, text, next_text), number of ranges);
+    ``rid`` numbers a range's rows in their order, the guest comes last."""
     keyed = _keyed(docs)
-    ids = keyed.select("key")
-    rows = ids.count()
-    parts = min(rows // ROWS_PER_RANGE, MAX_RANGES)
-    bounds: list[int] = []
-    if parts:
-        # one number for every ROWS_PER_RANGE rows
-        cuts = [i / (parts + 1) for i in range(1, parts + 1)]
-        bounds = sorted(set(ids.approxQuantile("key", cuts, 0.2 / (parts + 1))))
-        bounds = [int(b) for b in bounds]
-    keyed = keyed.withColumn("range", _range_of(F.col("key"), bounds))
-    # the first row of each range, narrow: (range, key, tie)
-    heads = (keyed.select("range", "key", "tie").groupBy("range")
-             .agg(F.max(F.struct("key", "tie")).alias("head")).select("range", "head.key", "head.tie"))
-    order = sorted(((r.range, r.key, r.tie) for r in heads.collect()), reverse=True)  # one row a range
-    guests_of = [(order[i - 1][0], *order[i][1:]) for i in range(len(order))]  # i = 0: the last range's guest
-    spark = docs.sparkSession
-    wanted = spark.createDataFrame(guests_of, "host int, key long, tie long") if order else None
-    home = keyed.withColumn("guest", F.lit(False))
-    if wanted is not None:
-        guests = (keyed.join(wanted, ["key", "tie"]).dropDuplicates(["host", "key", "tie"])
-                  .select("doc_id", "text", "key", "tie", F.col("host").alias("range"), F.lit(True).alias("guest")))
-        home = home.unionByName(guests)
-    # a partition for every range or two keeps the sketches of a task in memory
-    home = home.repartition(max(1, len(order)), "range")
+    size = keyed.agg(F.sum(F.octet_length("text").cast("long"))).first()[0]
+    parts = min(MOST_RANGES, max(1, math.ceil((size or 0) / RANGE_BYTES)))
+    # Spark samples where to cut; the first row of each range, narrow
+    heads = (keyed.select("key", "tie").repartitionByRange(parts, F.desc("key"), F.desc("tie"))
+             .groupBy(F.spark_partition_id().alias("p")).agg(F.max(F.struct("key", "tie")).alias("head")).select("head.*"))
+    order = sorted(((r.key, r.tie) for r in heads.collect()), reverse=True)
+    home = keyed.withColumn("range", _range_of(F.col("key"), F.col("tie"), order) if order else F.lit(0))
+    home = home.withColumn("guest", F.lit(False))
+    if order:
+        following = [(i, *order[(i + 1) % len(order)]) for i in range(len(order))]
+        wanted = docs.sparkSession.createDataFrame(following, "range int, key long, tie long")
+        guests = keyed.join(wanted, ["key", "tie"]).dropDuplicates(["range", "key", "tie"])
+        home = home.unionByName(guests.withColumn("guest", F.lit(True)))
     w = Window.partitionBy("range").orderBy("guest", F.desc("key"), F.desc("tie"))
-    following = {f"next_{c}": F.lead(c).over(w) for c in ("text", "key", "tie")}
-    return home.withColumns(following | {"rid": F.row_number().over(w)}).filter("not guest").drop("guest")
+    rows = home.repartition(max(1, len(order)), "range").withColumns(
+        {"rid": F.row_number().over(w), "next_text": F.lead("text").over(w)})
+    return rows.select("range", "rid", "guest", "doc_id", "text", "next_text"), max(1, len(order))
 
 
-def successors_of(docs: DataFrame, few: DataFrame) -> DataFrame:
-    """(range, rid, doc_id, text, next_text) of the rows of ``few``, which
-    carry both (key, tie) pairs: no text moves while ``few`` is small."""
-    keyed = _keyed(docs)
-    own = few.select("range", "rid", "key", "tie", "next_key", "next_tie").join(
-        keyed, ["key", "tie"]).dropDuplicates(["range", "rid"])
-    after = few.select("range", "rid", F.col("next_key").alias("key"), F.col("next_tie").alias("tie")).join(
-        keyed.select("key", "tie", F.col("text").alias("next_text")), ["key", "tie"]).dropDuplicates(["range", "rid"])
-    return own.select("range", "rid", "doc_id", "text").join(after.select("range", "rid", "next_text"), ["range", "rid"])
+def bucketed(df: DataFrame, buckets: int, by: str) -> DataFrame:
+    """``df`` written to the shared folder as a table whose rows lie in
+    ``buckets`` buckets: later work by ``by`` needs no shuffle."""
+    spark, name = df.sparkSession, f"iblt_{uuid.uuid4().hex}"
+    path = fresh_dir(spark, name)
+    df.write.bucketBy(buckets, by).option("path", path).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
+@contextmanager
+def _joined_in_place(spark: SparkSession) -> Iterator[None]:
+    """Joins whose sides lie in the same buckets by a part of the join's keys
+    are not shuffled by all of them."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def edited_text(text: Column, successor: Column) -> Column:
@@ -145,55 +158,59 @@ def differences(pairs: DataFrame, ids: list[str], cells_per_digest: float = CELL
                 passes: int = PASSES) -> DataFrame:
     """Subtract and peel.  ``pairs``: ids, and digest arrays ``x`` and ``y``.
 
-    Returns ids, n_x, n_y, plus (only in x), minus (only in y), left (cells
-    that could not be peeled).  Counts travel as rows of negative cells.
+    Returns ids, n_x, n_y, the recovered digests ``plus`` (only in x) and
+    ``minus`` (only in y), and left (cells that could not be peeled).
+    Recovered digests travel as rows of the cells -1 and -2.
     """
     size = F.greatest(F.lit(LEAST_CELLS), F.ceil((F.size("x") + F.size("y")) * cells_per_digest)).cast("int")
     ids = [*ids, "n_x", "n_y", "size"]
     pairs = pairs.withColumns({"n_x": F.size("x"), "n_y": F.size("y"), "size": size})
+    zero = F.lit(0).cast("long")
+
+    def entry(cell: Column, n: Column, k: Column, c: Column, digest: Column = zero) -> Column:
+        return F.struct(cell.cast("long").alias("cell"), digest.alias("digest"), n.cast("long").alias("n"), k.alias("k"),
+                        c.alias("c"))
 
     def put(key: Column, sign: Column) -> list[Column]:
-        return [F.struct(cell_of(key, t, F.col("size")).alias("cell"), sign.cast("long").alias("n"), key.alias("k"),
-                         check_of(key).alias("c")) for t in range(HASHES)]
+        return [entry(cell_of(key, t, F.col("size")), sign, key, check_of(key)) for t in range(HASHES)]
 
-    zero = F.lit(0).cast("long")
     signed = pairs.select(*ids, F.explode(F.concat(
         F.transform("x", lambda k: F.struct(k.alias("k"), F.lit(1).alias("s"))),
         F.transform("y", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("s"))),
         # keeps pairs without any digest
         F.array(F.struct(zero.alias("k"), F.lit(0).alias("s"))))).alias("e"))
-    rows = signed.select(*ids, F.explode(F.when(F.col("e.s") == 0, F.array(F.struct(
-        F.lit(-1).cast("long").alias("cell"), zero.alias("n"), zero.alias("k"), zero.alias("c"))))
-        .otherwise(F.array(*put(F.col("e.k"), F.col("e.s"))))).alias("r")).select(*ids, "r.*")
+    rows = signed.select(*ids, F.explode(F.when(F.col("e.s") == 0, F.array(entry(F.lit(-3), zero, zero, zero)))
+                                         .otherwise(F.array(*put(F.col("e.k"), F.col("e.s"))))).alias("r")).select(*ids, "r.*")
 
     def settle(rows: DataFrame) -> DataFrame:
-        return (rows.groupBy(*ids, "cell").agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
+        return (rows.groupBy(*ids, "cell", "digest")
+                .agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
                 .filter("cell < 0 or n != 0 or k != 0 or c != 0"))
 
     cells = settle(rows)
     for _ in range(passes):
         pure = (F.col("cell") >= 0) & (F.abs("n") == 1) & (check_of(F.col("k")) == F.col("c"))
-        cell = F.struct(F.lit(False).alias("found"), F.col("cell").alias("g"), "n", "k", "c")
-        key = F.struct(F.lit(True).alias("found"), F.col("k").alias("g"), "n", "k", "c")
+        cell = F.struct(F.lit(False).alias("found"), F.col("cell").alias("g"), "digest", "n", "k", "c")
+        key = F.struct(F.lit(True).alias("found"), F.col("k").alias("g"), "digest", "n", "k", "c")
         # a key may show in several cells: once is enough
         once = (cells.select(*ids, F.explode(F.when(pure, F.array(cell, key)).otherwise(F.array(cell))).alias("r"))
-                .select(*ids, "r.*").groupBy(*ids, "found", "g")
+                .select(*ids, "r.*").groupBy(*ids, "found", "g", "digest")
                 .agg(F.max("n").alias("n"), F.max("k").alias("k"), F.max("c").alias("c")))
-        same = F.struct(F.col("g").alias("cell"), "n", "k", "c")
-        tally = F.struct(F.when(F.col("n") > 0, -1).otherwise(-2).cast("long").alias("cell"),
-                         F.lit(1).cast("long").alias("n"), zero.alias("k"), zero.alias("c"))
-        out = F.array(tally, *put(F.col("k"), -F.col("n")))
+        same = entry(F.col("g"), F.col("n"), F.col("k"), F.col("c"), F.col("digest"))
+        recovered = entry(F.when(F.col("n") > 0, -1).otherwise(-2), F.lit(1), zero, zero, F.col("k"))
+        out = F.array(recovered, *put(F.col("k"), -F.col("n")))
         cells = settle(once.select(*ids, F.explode(F.when(F.col("found"), out).otherwise(F.array(same))).alias("r"))
                        .select(*ids, "r.*"))
 
-    def tally_of(cell: int) -> Column:
-        return F.coalesce(F.max(F.when(F.col("cell") == cell, F.col("n"))), zero)
-    return cells.groupBy(*ids).agg(tally_of(-1).alias("plus"), tally_of(-2).alias("minus"),
+    def side(cell: int) -> Column:
+        return F.collect_list(F.when(F.col("cell") == cell, F.col("digest")))
+    return cells.groupBy(*ids).agg(side(-1).alias("plus"), side(-2).alias("minus"),
                                    F.count(F.when(F.col("cell") >= 0, 1)).alias("left")).drop("size")
 
 
 def likeness(n_x: Column, plus: Column, minus: Column) -> Column:
-    """Shared digests / all digests, from what was peeled."""
+    """Shared digests / all digests, from the recovered ones."""
+    plus, minus = F.size(plus), F.size(minus)
     return F.when(n_x + minus == 0, F.lit(1.0)).otherwise((n_x - plus) / (n_x + minus)).cast("double")
 
 
@@ -201,41 +218,39 @@ def compare_neighbours(docs: DataFrame, cells_per_digest: float = CELLS_PER_DIGE
                        attempts: int = 20) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next) of every row."""
-    def edit(around: DataFrame) -> DataFrame:
-        return around.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
-
-    edited = edit(with_successor(docs))
-
-    def peeled(rows: DataFrame, factor: int) -> DataFrame:
+    around, ranges = with_successor(docs)
+    edited = F.when(~F.col("guest"), edited_text(F.col("text"), F.col("next_text")))
+    table = bucketed(around.withColumn("edited", edited).select(
+        "range", "rid", "guest", "doc_id", F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("x"),
+        digests(F.col("edited")).alias("e")), ranges, "range")
+    own = table.filter(~F.col("guest"))
+    following = F.lead("x").over(Window.partitionBy("range").orderBy("rid"))
+    pairs = table.select("range", "rid", "guest", "x", "e", following.alias("y")).filter(~F.col("guest"))
+
+    def peeled(pairs: DataFrame, factor: int) -> DataFrame:
         """One row a document: results against the edited and the next text."""
-        keys = rows.select("range", "rid", "doc_id", digests(F.col("text")).alias("x"),
-                           F.array(digests(F.col("edited")), digests(F.col("next_text"))).alias("ys"))
-        pairs = keys.select("range", "rid", "doc_id", "x", F.posexplode("ys").alias("side", "y"))
-        found = differences(pairs, ["range", "rid", "doc_id", "side"], cells_per_digest * factor, passes)
+        sides = pairs.select("range", "rid", "x", F.posexplode(F.array("e", "y")).alias("side", "y"))
+        found = differences(sides, ["range", "rid", "side"], cells_per_digest * factor, passes)
         near = likeness(F.col("n_x"), F.col("plus"), F.col("minus"))
-        return found.groupBy("range", "rid", "doc_id").agg(
+        return found.groupBy("range", "rid").agg(
             F.max(F.when(F.col("side") == 0, near)).alias("near_edited"),
-            F.max(F.when(F.col("side") == 1, near)).alias("near_next"),
-            F.max("left").alias("left")).drop("doc_id")
-
-    about = edited.select(
-        "range", "rid", "key", "tie", "next_key", "next_tie", "doc_id", F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        let(digests(F.col("text")), lambda k: fingerprint(k)).alias("fingerprint"),
-        let(digests(F.col("edited")), lambda k: fingerprint(k)).alias("edited_fingerprint"))
-    result = spool(about.join(peeled(edited, 1), ["range", "rid"]), "iblt")
-    done, columns = result.filter("left = 0"), result.columns
-    open_ = result.filter("left > 0")
-    for attempt in range(1, attempts + 1):
-        if open_.isEmpty():
-            break
-        # a table of its own: its size tells the planner that no text need move
-        few = spool(open_.select("range", "rid", "key", "tie", "next_key", "next_tie"), "iblt-open")
-        again = edit(successors_of(docs, few))
-        next_ = spool(open_.drop("near_edited", "near_next", "left").join(peeled(again, 2 ** attempt), ["range", "rid"])
-                      .select(*columns), "iblt")
-        done, open_ = done.unionByName(next_.filter("left = 0")), next_.filter("left > 0")
-    else:
-        if not open_.isEmpty():
-            raise RuntimeError("sketches that cannot be peeled")
-    return done.drop("range", "rid", "key", "tie", "next_key", "next_tie", "left")
+            F.max(F.when(F.col("side") == 1, near)).alias("near_next"), F.max("left").alias("left"))
+
+    about = own.select("range", "rid", "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("x")).alias("fingerprint"),
+                       fingerprint(F.col("e")).alias("edited_fingerprint"))
+    with _joined_in_place(docs.sparkSession):
+        result = spool(about.join(peeled(pairs, 1), ["range", "rid"]), "iblt")
+        done, open_ = result.filter("left = 0"), result.filter("left > 0")
+        for attempt in range(1, attempts + 1):
+            if open_.isEmpty():
+                break
+            few = open_.select("range", "rid")
+            again = peeled(pairs.join(few, ["range", "rid"], "left_semi"), 2 ** attempt)
+            next_ = spool(open_.drop("near_edited", "near_next", "left").join(again, ["range", "rid"]).select(*result.columns),
+                          "iblt")
+            done, open_ = done.unionByName(next_.filter("left = 0")), next_.filter("left > 0")
+        else:
+            if not open_.isEmpty():
+                raise RuntimeError("sketches that cannot be peeled")
+    return done.drop("range", "rid", "left")

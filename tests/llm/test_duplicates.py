@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from paceline.llm import iblt, sharding, simhash, substring
@@ -82,7 +83,6 @@ def brute_fingerprint(text):
 
 
 def test_fingerprints(spark, odd_docs):
-    from pyspark.sql import functions as F
     for text in [None, "", "One", "a B c D e", "É é ß A", "x " * 50, "a b c d e f g h i j"]:
         assert simhash.fingerprint(text) == brute_fingerprint(text)
     spark_hash = spark.range(1).select(F.xxhash64(F.lit("a b c d"))).first()[0] % 2 ** 64
@@ -200,10 +200,10 @@ def test_sharding_mends_pairs_when_no_text_is_alone(spark):
     assert split_groups(found) == 0
 
 
-@pytest.mark.parametrize("cells, rows_per_range", [(iblt.CELLS_PER_DIGEST, 250), (0.2, 30)])
-def test_peeling_recovers_the_differences(spark, monkeypatch, cells, rows_per_range):
+@pytest.mark.parametrize("cells, range_bytes", [(iblt.CELLS_PER_DIGEST, 4 << 20), (0.2, 40_000)])
+def test_peeling_recovers_the_differences(spark, monkeypatch, cells, range_bytes):
     """With too few cells at first, retries give the same likeness."""
-    monkeypatch.setattr(iblt, "ROWS_PER_RANGE", rows_per_range)
+    monkeypatch.setattr(iblt, "RANGE_BYTES", range_bytes)
     if cells < iblt.CELLS_PER_DIGEST:
         monkeypatch.setattr(iblt, "LEAST_CELLS", 2)
     docs = documents(spark, SF_SMALL)
@@ -220,6 +220,51 @@ def test_peeling_recovers_the_differences(spark, monkeypatch, cells, rows_per_ra
         assert by_text.setdefault(t, got[d].fingerprint) == got[d].fingerprint
 
 
-def test_fingerprints_of_odd_rows(odd_docs, no_docs):
-    assert iblt.compare_neighbours(odd_docs).count() == odd_docs.count()
-    assert iblt.compare_neighbours(no_docs).count() == 0
+def test_recovered_digests_are_those_that_differ(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(60):
+        shared, only_x, only_y = ([rng.randrange(-2**63, 2**63) for _ in range(rng.randint(0, 30))] for _ in range(3))
+        rows.append((i, shared + only_x, only_y + shared))
+    rows += [(60, [], []), (61, [5], []), (62, [0], [0])]
+    found = iblt.differences(spark.createDataFrame(rows, "id int, x array<long>, y array<long>"), ["id"], 1.0, 8).collect()
+    assert len(found) == len(rows) and sum(r.left == 0 for r in found) > 50
+    for r in found:
+        x, y = map(set, rows[r.id][1:])
+        assert (r.n_x, r.n_y) == (len(x), len(y)) and set(r.plus) <= x - y and set(r.minus) <= y - x
+        if not r.left:
+            assert sorted(r.plus) == sorted(x - y) and sorted(r.minus) == sorted(y - x)
+
+
+def test_fingerprints_are_sketches_that_subtract(spark):
+    keys = [random.Random(7).randrange(-2**63, 2**63) for _ in range(70_000)]
+    df = spark.createDataFrame([(keys[:-1], keys)], "a array<long>, b array<long>")
+    a, b = df.select(iblt.fingerprint(F.col("a")), iblt.fingerprint(F.col("b"))).first()
+    cells = [[(int(f[i:i + 8], 16), int(f[i + 8:i + 24], 16), int(f[i + 24:i + 32], 16)) for i in range(0, len(f), 32)] for f in (a, b)]
+    assert sum(n for n, _, _ in cells[1]) == 4 * 70_000
+    left = [(m - n, j ^ k) for (n, j, _), (m, k, _) in zip(*cells) if (n, j) != (m, k)]
+    assert left == [(1, keys[-1] % 2**64)] * iblt.HASHES
+
+
+def test_ranges_cut_within_an_id(spark, monkeypatch):
+    monkeypatch.setattr(iblt, "RANGE_BYTES", 500)
+    rows = [(None if i % 2 else 7, f"text {i}. and more {i % 5}.") for i in range(200)]
+    found, ranges = iblt.with_successor(spark.createDataFrame(rows, TEXTS))
+    assert ranges > 5
+    own = [r for r in found.collect() if not r.guest]
+    assert len(own) == 200 and len({r.range for r in own}) == ranges
+    assert max(Counter(r.range for r in own).values()) < 80 and all(r.next_text is not None for r in own)
+    assert sorted(r.next_text for r in own) == sorted(t for _, t in rows)       # one circle
+
+
+def test_fingerprints_of_odd_rows(spark, odd_docs, no_docs):
+    found = iblt.compare_neighbours(odd_docs).collect()
+    texts = [(r.doc_id, r.text or "") for r in odd_docs.collect()]
+    assert sorted(str((r.doc_id, r.n_chars)) for r in found) == sorted(str((d, len(t))) for d, t in texts)
+    for d, t in texts:
+        mine = [r for r in found if r.doc_id == d and r.n_chars == len(t)]
+        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in mine)
+    same = {r.fingerprint for r in found if r.n_chars == len("same text here.") and r.doc_id in (3, 4)}
+    assert len(same) == 1
+    lone = iblt.compare_neighbours(spark.createDataFrame([(1, "alone. here.")], TEXTS)).first()
+    assert lone.near_next == 1.0 and iblt.compare_neighbours(no_docs).count() == 0
