@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ class _WordHashes(dict):
     """Hash of a word; 0 is the break between pieces."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 2_000_000:
+        if len(self) > 500_000:
             self.clear()
         self[word] = h = 0 if word == BREAK else xxhash.xxh3_64_intdigest(word) or 1
         return h
@@ -171,7 +172,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         counted: dict[str, Counter] = {}
         for lang, words in _batches(batches):
             counted.setdefault(lang, Counter()).update(words)
-            if sum(map(len, counted.values())) > 500_000:
+            if sum(map(len, counted.values())) > 300_000:
                 yield from rows()
                 counted = {}
         yield from rows()
@@ -202,7 +203,7 @@ def count_hashes(texts: DataFrame, maps: list[Bitmap], most: int, min_count: int
             for k, _, h in live(hashes.array(words), _seed(lang), known, most):
                 if k > len(known) and len(h):
                     held.setdefault(k, []).append(h)
-            if sum(len(h) for parts in held.values() for h in parts) > 4_000_000:
+            if sum(len(h) for parts in held.values() for h in parts) > 2_000_000:
                 yield from rows()
                 held.clear()
         yield from rows()
@@ -231,7 +232,7 @@ def collect_phrases(texts: DataFrame, maps: list[Bitmap]) -> DataFrame:
                 if k > 1 and passed.any():
                     places = _one_each(ids, at[passed], h[passed], k)
                     seen.update((lang, b" ".join(words[i:i + k])) for i in places.tolist())
-            if len(seen) > 500_000:
+            if len(seen) > 200_000:
                 yield rows()
                 seen.clear()
         yield rows()
@@ -259,44 +260,53 @@ class DoubleArray:
     leads to t = base[s] + c if check[t] == s.  ``number[t]``: the phrase that
     ends there, or -1.  The first symbol of a phrase is its language."""
 
-    def __init__(self, phrases: list[tuple[str, list[bytes]]]):
-        self.code: dict[bytes, int] = {}
-        self.lang: dict[str, int] = {}
-        children: list[dict[int, int]] = [{}]
-        parent, symbol, accepted = [0], [0], {}
-        for number, (lang, words) in enumerate(phrases):
-            node = 0
-            for c in [self.lang.setdefault(lang, len(self.lang) + 1),
-                      *(self.code.setdefault(w, len(self.code) + 1) for w in words)]:
-                below = children[node]
-                if c not in below:
-                    below[c] = len(children)
-                    children.append({})
-                    parent.append(node)
-                    symbol.append(c)
-                node = below[c]
-            accepted[node] = number
-        start, size = self._place(children, max(len(self.code), len(self.lang)) + 1)
-        parent, symbol = np.array(parent), np.array(symbol)
+    def __init__(self, langs: pa.Array, phrases: pa.Array):
+        """Phrase i is ``phrases[i]``, words joined by spaces, in ``langs[i]``."""
+        langs, split = langs.dictionary_encode(), pc.split_pattern(phrases, " ")
+        words = split.flatten().dictionary_encode()
+        self.lang = {x: i + 1 for i, x in enumerate(langs.dictionary.to_pylist())}
+        self.code = {w.encode(): i + 1 for i, w in enumerate(words.dictionary.to_pylist())}
+        first = split.offsets.to_numpy()
+        codes, lengths = words.indices.to_numpy() + 1, np.diff(first)
+        width = max(len(self.code), len(self.lang)) + 1
+        # level by level: a node is a parent and a symbol
+        parents, symbols, nodes = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 1
+        node, ends = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+        on = np.arange(len(lengths))
+        for depth in range(int(lengths.max(initial=0)) + 1):
+            symbol = codes[first[on] + depth - 1] if depth else langs.indices.to_numpy() + 1
+            edges, which = np.unique(node[on] * width + symbol, return_inverse=True)
+            parents.append(edges // width)
+            symbols.append(edges % width)
+            node[on] = nodes + which
+            nodes += len(edges)
+            ends[on[lengths[on] == depth]] = node[on[lengths[on] == depth]]
+            on = on[lengths[on] > depth]
+        parent, symbol = np.concatenate(parents), np.concatenate(symbols)
+        start, size = self._place(parent, symbol, width)
         state = start[parent] + symbol
         state[0] = 0
         self.base = np.zeros(size, np.int32)
         self.check, self.number = np.full(size, -1, np.int32), np.full(size, -1, np.int32)
         self.base[state] = start
         self.check[state[1:]] = state[parent[1:]]
-        self.number[state[list(accepted)]] = list(accepted.values())
+        self.number[state[ends]] = np.arange(len(ends))
 
     @staticmethod
-    def _place(children: list[dict[int, int]], width: int) -> tuple[np.ndarray, int]:
+    def _place(parent: np.ndarray, symbol: np.ndarray, width: int) -> tuple[np.ndarray, int]:
         """Base of each state, so that no two children share a slot: the
         widest states first, single children into what is left."""
-        rng, counts = np.random.default_rng(13), np.array([len(c) for c in children])
-        end = 6 * len(children) + 4 * width             # slots of lowest children; others lie up to a width behind
+        nodes = len(parent)
+        order = np.lexsort((symbol[1:], parent[1:])) + 1                # children, by parent
+        counts = np.bincount(parent[1:], minlength=nodes)
+        offset = np.concatenate(([0], np.cumsum(counts)))
+        rng = np.random.default_rng(13)
+        end = 6 * nodes + 4 * width                     # slots of lowest children; others lie up to a width behind
         used = np.zeros(end + width, bool)
         used[:width] = True                             # keeps bases positive, and slot 0 for the root
-        start = np.zeros(len(children), np.int64)
+        start = np.zeros(nodes, np.int64)
         for node in np.argsort(-counts, kind="stable")[:(counts > 1).sum()].tolist():
-            codes = np.sort(np.fromiter(children[node], np.int64, counts[node]))
+            codes = symbol[order[offset[node]:offset[node + 1]]]
             reach = 1 << 12 if len(codes) < 1000 else 1 << 6
             while not start[node]:
                 low = int(rng.integers(width, max(width + 1, end - reach)))
@@ -316,7 +326,7 @@ class DoubleArray:
         slots = np.flatnonzero(~used)
         if len(slots) < len(single):
             slots = np.append(slots, len(used) + np.arange(len(single)))
-        start[single] = slots[:len(single)] - [next(iter(children[n])) for n in single.tolist()]
+        start[single] = slots[:len(single)] - symbol[order[offset[single]]]
         return start, int(max(len(used), slots[len(single) - 1] + 1 if len(single) else 0)) + width
 
     def codes(self, words: list[bytes]) -> np.ndarray:
@@ -353,10 +363,9 @@ def count_phrases(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_B
     found = None
     for t in range(tries):
         part = dealt.filter(F.col("trie") == t).select("lang", "phrase").toArrow()     # one trie's phrases
-        langs, names = part["lang"].to_pylist(), part["phrase"].to_pylist()
-        counts = spool(_count(texts, DoubleArray([(x, p.encode().split(b" ")) for x, p in zip(langs, names)]), len(names)),
-                       "collocations-counts")
-        numbered = spark.createDataFrame(part.append_column("number", pa.array(np.arange(len(names), dtype=np.int32))))
+        trie = DoubleArray(*(part[c].combine_chunks() for c in ("lang", "phrase")))
+        counts = spool(_count(texts, trie, part.num_rows), "collocations-counts")
+        numbered = spark.createDataFrame(part.append_column("number", pa.array(np.arange(part.num_rows, dtype=np.int32))))
         named = spool(numbered.join(counts, "number").select("lang", "phrase", "f"), "collocations-counted")
         found = named if found is None else found.unionByName(named)
     return found

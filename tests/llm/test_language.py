@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,7 +150,7 @@ def test_double_array_accepts_its_phrases_only():
     words = [f"w{i}".encode() for i in range(300)]
     phrases = list({(rng.choice(["x", "y"]), tuple(rng.choice(words[:rng.choice([3, 40, 300])])
                                                    for _ in range(rng.randint(2, 4)))) for _ in range(6000)})
-    trie = collocations.DoubleArray([(lang, list(p)) for lang, p in phrases])
+    trie = collocations.DoubleArray(pa.array([x for x, _ in phrases]), pa.array([b" ".join(p).decode() for _, p in phrases]))
     number = {p: i for i, p in enumerate(phrases)}
     text = [rng.choice([*words[:40], b"unknown", collocations.BREAK]) for _ in range(20_000)]
     for lang in ("x", "y", "z"):
