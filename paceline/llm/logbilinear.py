@@ -36,6 +36,7 @@ from __future__ import annotations
 import dataclasses
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ from paceline.llm.common import spool
 HEAD = 512
 KNOWN = 1 << 17
 KNOWN_BYTES = 64
-CLASSES = 64
+CLASSES = 40
 CONTEXT = 2
 DIMENSIONS = 16
 NOISE = 24
@@ -107,17 +108,32 @@ def _texts(sizes: list[int], z: bytes) -> Iterator[bytes | None]:
         at += max(n, 0)
 
 
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _split(text: bytes | None) -> list[bytes]:
+    return (text or b"").lower().split()                 # A-Z only, ASCII white space
+
+
+def distinct_words(sizes: list[int], z: bytes) -> dict[bytes, None]:
+    """A block's words in the order of their first appearance."""
+    return dict.fromkeys(chain.from_iterable(map(_split, _texts(sizes, z))))
+
+
 class Block:
     """Tokens of a block's documents: per word a number by first appearance."""
 
-    def __init__(self, sizes: list[int], z: bytes, words: bool = True):
+    def __init__(self, sizes: list[int], z: bytes):
         self.texts = list(_texts(sizes, z))
-        self.number: dict[bytes, int] = {}
-        of, lengths = self.number.setdefault, []
+        self.number: dict[bytes, int] = _Numbers()
+        number, lengths = self.number.__getitem__, []
         flat: list[int] = []
         for t in self.texts:
-            split = (t or b"").lower().split()           # A-Z only, ASCII white space
-            flat += [of(w, len(self.number)) for w in split]
+            split = _split(t)
+            flat.extend(map(number, split))
             flat.append(-1)                              # the end
             lengths.append(len(split) + 1)
         self.flat, self.lengths = np.array(flat, np.int64), np.array(lengths, np.int64)
@@ -216,8 +232,8 @@ def _with_rare_counts(blocks: DataFrame, counts: DataFrame, known: Vocabulary) -
         have = shared.value.counts
         for batch in batches:
             for number, sizes, z in zip(*batch.columns):
-                words = Block(sizes.as_py(), z.as_py()).number
-                rare = [(w.decode(), j) for w, j in words.items() if w not in have]
+                words = distinct_words(sizes.as_py(), z.as_py())
+                rare = [(w.decode(), j) for j, w in enumerate(words) if w not in have]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w for w, _ in rare], pa.string()), pa.array([number.as_py()] * len(rare), pa.int64()),
                      pa.array([j for _, j in rare], pa.int32())], ["word", "block", "j"])
