@@ -1,4 +1,5 @@
-"""Lookup joins J1-J3 with a checked broadcast.
+"""Lookup joins J1-J3 with a checked broadcast, and joins of facts with
+dimensions of any size (J4, J5).
 
 A side is broadcast only after its bytes are measured (``fits_broadcast``: one
 two-phase sum over its rows).  Beyond the bound the join is left to the planner
@@ -108,3 +109,28 @@ def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner
                                                    .otherwise(F.sequence(F.lit(0), buckets - 1))))
                     .drop("_buckets"))
     return big_salted.join(small_salted, [key, "_salt"], how).drop("_salt")
+
+
+def co_located_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Equi-join of two tables in the same buckets of ``key`` (``Catalog.write_bucketed``),
+    ``small`` with one row a key: neither is shuffled, whatever their sizes.
+
+    A bucket is one task, so a hot key's rows are joined apart: the rows of
+    ``small`` for keys with more than ``hot_rows`` rows (at most
+    total / ``hot_rows`` of them, and checked) are broadcast to the rows of
+    ``big``, which are then read in splits of any size.
+    """
+    from paceline.sources.tables import materialize
+
+    if how not in ("inner", "left"):
+        raise ValueError("an inner or a left join")
+    hot = materialize(hot_keys(big.select(key), key, hot_rows).select(key), "hot-keys")
+    if hot.isEmpty():
+        return big.join(small.hint("merge"), key, how)
+    few = materialize(small.join(F.broadcast(hot), key, "left_semi"), "hot-rows")
+    if not (fits_broadcast(hot) and fits_broadcast(few)):
+        return skew_safe_join(big, small, key, how, big.select(key), hot_rows, 0)
+    hot_part = big.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(few), key, how)
+    cold_part = big.join(F.broadcast(hot), key, "left_anti").join(small.hint("merge"), key, how)
+    return hot_part.unionByName(cold_part)

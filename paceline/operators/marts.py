@@ -12,6 +12,8 @@ The views (R6, R7) must return every fact row, so they join at row level
 with ``skew_safe_join``: a dimension proven small is broadcast (the fact is
 not shuffled), a large one is joined with its hot keys (more rows than
 HOT_KEY_ROWS) salted over several tasks.  The unit filter applies first.
+Over a clustered star (fact and athletes in the same buckets of the athlete)
+the athletes are joined in place instead, without a shuffle of the fact.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.operators.joins import BROADCAST_BYTES, HOT_KEY_ROWS, skew_safe_join
+from paceline.operators.joins import (BROADCAST_BYTES, HOT_KEY_ROWS, co_located_join, maybe_broadcast,
+                                      skew_safe_join)
 from paceline.operators.model import StarSchema
 
 DISTANCE_VIEW_COLUMNS = [
@@ -47,6 +50,9 @@ def _race_view(star: StarSchema, fact_cols: list[str], unit_filter, out_cols: li
     events = star.events.select(*_VIEW_EVENT_COLUMNS).filter(unit_filter)
     athletes = star.athletes.select(*_VIEW_ATHLETE_COLUMNS)
     fact = star.fact.select(*fact_cols)
+    if star.co_located:
+        joined = co_located_join(fact, athletes, "athlete_id", hot_rows=hot_rows)
+        return joined.join(maybe_broadcast(events, broadcast_bytes), "event_id").select(*out_cols)
     with_events = skew_safe_join(fact, events, "event_id", counts_from=star.fact.select("event_id"),
                                  hot_rows=hot_rows, broadcast_bytes=broadcast_bytes)
     joined = skew_safe_join(with_events, athletes, "athlete_id",

@@ -135,9 +135,12 @@ DIMENSIONS = {
 
 
 class StarSchema:
-    """The four gold relations over one silver frame (lazy)."""
+    """The four gold relations over one silver frame (lazy).  ``co_located``:
+    fact and athletes are tables in the same buckets of ``athlete_id``."""
 
-    def __init__(self, fact: DataFrame, athletes: DataFrame, events: DataFrame, dates: DataFrame):
+    def __init__(self, fact: DataFrame, athletes: DataFrame, events: DataFrame, dates: DataFrame,
+                 co_located: bool = False):
+        self.co_located = co_located
         self.fact = fact
         self.athletes = athletes
         self.events = events

@@ -19,7 +19,11 @@ beside the old one (S11).  ``publish`` puts the datasets into a catalog.
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paceline.functions.names import normalise_columns
@@ -235,6 +239,32 @@ def publish(spark: SparkSession, layers: Layers, prefix: str = "") -> Catalog:
     return catalog
 
 
+# Of the fact's files, about what one task reads of a clustered copy.
+BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def buckets_for(fact: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for a copy of ``fact``, from the bytes of its rows."""
+    size = fact.agg(F.sum(F.octet_length("result_id") + F.octet_length("event_id") + 64).cast("long")).first()[0] or 0
+    return max(1, math.ceil(size / bucket_bytes))
+
+
+def cluster_by_athlete(catalog: Catalog, star: StarSchema, buckets: int | None = None) -> StarSchema:
+    """Copies of the fact and the athletes in the same buckets of the
+    athlete, in the catalog as ``fct_by_athlete`` and ``dim_athlete_buckets``.
+    The views over the star that this returns join them without shuffling the
+    fact.  Results without an athlete, which no view shows, are left out."""
+    buckets = buckets or buckets_for(star.fact)
+    at = f"{catalog.root}/clustered/{uuid.uuid4().hex}"
+    fact = star.fact.filter(F.col("athlete_id").isNotNull())
+    return StarSchema(
+        catalog.write_bucketed(fact, "gold", "fct_by_athlete", f"{at}/fact", "Results in buckets by athlete",
+                               "athlete_id", buckets),
+        catalog.write_bucketed(star.athletes, "gold", "dim_athlete_buckets", f"{at}/athletes",
+                               "Athletes in the buckets of the results", "athlete_id", buckets),
+        star.events, star.dates, co_located=True)
+
+
 def register_gold_views(spark: SparkSession, star: StarSchema) -> None:
     """S9 in one session: the two race views and the four marts under stable names."""
     register_views(spark, {f.__name__: f(star) for f in (

@@ -4,7 +4,8 @@ pre-aggregation below dimension joins, pushed filters and pruned scans."""
 from conftest import SF_SMALL
 from paceline.operators import marts
 from paceline.operators.joins import fits_broadcast
-from paceline.plans.queries import shared_star, silver, star
+from paceline.operators.clean import clean
+from paceline.plans.queries import bronze_results, shared_star, silver, star
 from paceline.sources.feed import country_lookup
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
@@ -21,7 +22,7 @@ def test_silver_plan(spark):
 
 
 def test_silver_scan_pushes_day_filter(spark):
-    s = silver(spark, SF_SMALL)
+    s = clean(bronze_results(spark, SF_SMALL), country_lookup(spark, SF_SMALL))      # over a landed feed
     text = s._jdf.queryExecution().executedPlan().toString()
     assert "isnotnull(event_distance/length" in text or "IsNotNull(event_distance/length)" in text
 
@@ -53,3 +54,33 @@ def test_lookup_broadcast_is_size_checked(spark):
     lookup = country_lookup(spark, SF_SMALL)
     assert fits_broadcast(lookup, 100_000)
     assert not fits_broadcast(lookup, 1000)
+
+
+def test_single_relations_write_nothing(spark):
+    from paceline.plans import queries as Q
+    for key in ("results_clean", "fct_results", "dim_athlete", "dim_event", "dim_date", "races_per_year"):
+        df = Q.BATCH_QUERIES[key](spark, SF_SMALL)
+        assert all("/testdata/" in f for f in df.inputFiles()), key
+
+
+def test_clustered_view_shuffles_no_fact(spark):
+    """With every broadcast of the athletes ruled out: no Exchange above the fact."""
+    from paceline.session import fresh_dir
+    from paceline.sources.catalog import Catalog
+    from paceline.sources.tables import materialize
+    from paceline.streaming.pipeline import cluster_by_athlete
+    star = shared_star(spark, SF_SMALL)
+    star.events = materialize(star.events, "test-events")     # as stored
+    catalog = Catalog(spark, fresh_dir(spark, "test-clustered"), "clustered_test_")
+    catalog.create_schemas()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        clustered = cluster_by_athlete(catalog, star, 4)
+        for hot_rows in (10 ** 9, 5):                      # no hot key, and most keys hot
+            view = marts.distance_races(clustered, hot_rows=hot_rows)
+            p = plan(view)
+            assert "Exchange hashpartitioning" not in p and "SortMergeJoin" in p
+            assert sorted(map(str, view.collect())) == sorted(map(str, marts.distance_races(star).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
