@@ -6,8 +6,8 @@ Every line is judged by itself first:
   letters nor digits, or it has no letter or digit at all;
 * navigation: at least ``MENU_MARKS`` menu separators, one for every
   ``MENU_WORDS`` words or fewer;
-* boilerplate: a line of at most ``BOILERPLATE_CHARS`` characters with a licence,
-  rights, cookie, script or sign-in phrase.
+* boilerplate: a licence, rights, cookie, script or sign-in phrase for every
+  ``PHRASE_WORDS`` words or fewer, whatever the line's length.
 
 Failing lines are taken out.  A document is rejected when the lines taken out
 hold more than ``LOSS_SHARE`` of its visible characters, or when it fails the
@@ -35,7 +35,7 @@ MARK_SHARE = 0.25
 MENU_MARKS = 3
 MENU_WORDS = 4
 LOSS_SHARE = 0.5
-BOILERPLATE_CHARS = 120
+PHRASE_WORDS = 25
 SYMBOLS = "[#*$%&|<>]"
 # Phrases of licence, rights, cookie, script and sign-in lines.
 BOILERPLATE = ("all rights reserved", "licensed under", "released under the", "terms of use", "terms of service",
@@ -81,8 +81,17 @@ def line_fails(line: Column) -> dict[str, Column]:
     marks = F.length(F.regexp_replace(line, r"[\p{L}\p{N}\x20\x09-\x0D]+", ""))
     count = F.size(words(line))
     menus = F.length(line) - F.length(F.regexp_replace(line, "[|»›•]", ""))
-    # short lines only: the order of the conditions spares the search in long ones
-    boiler = (F.length(line) <= BOILERPLATE_CHARS) & F.lower(line).rlike("|".join(BOILERPLATE))
+    def phrased(low: Column) -> Column:
+        found = low.contains(BOILERPLATE[0])
+        for phrase in BOILERPLATE[1:]:
+            found = found | low.contains(phrase)
+        return found
+
+    def dense(low: Column) -> Column:
+        # phrases are only counted where there is one at all
+        return F.when(phrased(low), F.regexp_count(low, F.lit("|".join(BOILERPLATE))) * PHRASE_WORDS >= count).otherwise(
+            F.lit(False))
+    boiler = let(F.lower(line), dense)
     return {"punctuation": marks > shown * F.lit(MARK_SHARE),
             "navigation": (menus >= MENU_MARKS) & (menus * MENU_WORDS >= count),
             "boilerplate": boiler}

@@ -29,8 +29,9 @@ judged AS (
              OR (length(regexp_replace(l, '[^|»›•]', '', 'g')) >= {Q.MENU_MARKS}
                  AND length(regexp_replace(l, '[^|»›•]', '', 'g')) * {Q.MENU_WORDS}
                      >= len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')))
-             OR (length(l) <= {Q.BOILERPLATE_CHARS}
-                 AND regexp_matches(lower(l), '{"|".join(Q.BOILERPLATE)}')))) AS good
+             OR (regexp_matches(lower(l), '{"|".join(Q.BOILERPLATE)}')
+                 AND len(regexp_extract_all(lower(l), '{"|".join(Q.BOILERPLATE)}')) * {Q.PHRASE_WORDS}
+                     >= len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))))) AS good
   FROM base b LEFT JOIN covered c USING (doc_id)),
 counted AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,

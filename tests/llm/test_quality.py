@@ -58,6 +58,16 @@ def test_line_rules(spark):
     assert got["licence"].n_lines_removed == 1 and "Apache" not in got["licence"].clean_text
 
 
+def test_boilerplate_is_judged_in_lines_of_any_length(spark):
+    notice = "We use cookies to give you the best experience on this site, and by staying on it you agree to that. "
+    words = " ".join(f"word{i}" for i in range(700)) + ". "
+    lines = {"a long notice": notice * 50, "long prose with a notice": words + notice, "short": notice,
+             "no end": "all rights reserved " + "x " * 40_000, "prose": words}
+    rows = [(k, f"{t}\n{words}") for k, t in lines.items()]
+    got = {r.doc_id: r.n_lines_removed for r in line_quality.judge(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"a long notice": 1, "long prose with a notice": 0, "short": 1, "no end": 0, "prose": 0}
+
+
 def test_quality_on_held_out_labels(spark):
     docs, labels = documents(spark, "/root/testdata/sf0.1"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     third = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
