@@ -66,10 +66,23 @@ def byte_chars() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(other)}
 
 
+def check_merges(vocabulary: bytes) -> None:
+    """Raise unless ids rank the merges: the merges make every piece of more
+    than one byte, in the order of its id.  ``JsonBpe`` relies on it."""
+    spec = json.loads(vocabulary)
+    added = {t["content"] for t in spec.get("added_tokens", ())}
+    vocab = spec["model"]["vocab"]
+    made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
+    if None in made or made != sorted(made):
+        raise ValueError("the merges of the vocabulary are not in the order of its ids")
+    if set(made) != {i for t, i in vocab.items() if len(t) > 1 and t not in added}:
+        raise ValueError("the vocabulary has pieces that no merge makes")
+
+
 class JsonBpe:
     """Ids of a byte-level BPE vocabulary in ``tokenizers`` JSON form.
 
-    The ids of such a file are its merge ranks, which is what tiktoken merges
+    The ids of such a file are its merge ranks (``check_merges``), which is what tiktoken merges
     by; its merge loop is several times faster.  A text is cut at the file's
     added tokens, which have ids of their own.  Ids equal those of the
     ``tokenizers`` library in its default setting with add_special_tokens=False.
@@ -114,7 +127,9 @@ def tokenize(docs: DataFrame, vocabulary: str, pattern: str, max_queues: int = M
     of the partitions of this one run.  Sources in ``targeted`` keep queues of
     their own."""
     with open(vocabulary, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary, under 2 MB
+        raw = f.read()
+    check_merges(raw)
+    shared = docs.sparkSession.sparkContext.broadcast(raw)  # one vocabulary, under 2 MB
     kind = docs.schema["doc_id"].dataType.simpleString()
     few = docs.select("source").distinct().count() <= max_queues
     queue = F.col("source").cast("string")

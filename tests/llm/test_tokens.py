@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import json
 import zlib
 
 import public_tokenizers as P
@@ -221,3 +222,15 @@ def test_targets_that_name_no_source_or_are_negative_are_errors(spark):
             packing.Mixture([("a", 5), ("b", 5)], targets, 4)
     docs = spark.createDataFrame([("a",), (None,), ("c",)], "source string")
     assert packing.present(docs, {"a": 1, "b": 2, None: 3}) == {"a": 1, None: 3}
+
+
+def test_a_vocabulary_whose_ids_do_not_rank_its_merges_is_an_error():
+    with open(VOCABULARY, "rb") as f:
+        raw = f.read()
+    packing.check_merges(raw)
+    spec = json.loads(raw)
+    merges = spec["model"]["merges"]
+    for changed in (merges[::-1], merges[:-1], [*merges[:-1], ["no", "piece"]]):
+        spec["model"]["merges"] = changed
+        with pytest.raises(ValueError):
+            packing.check_merges(json.dumps(spec).encode())
