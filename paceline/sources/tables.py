@@ -67,7 +67,9 @@ def next_generation(layers: Layers, datasets: list[str]) -> Layers:
 
 def publish_generations(spark: SparkSession, layers: Layers) -> None:
     """Make the generations of ``layers`` those that count, all in one commit."""
-    _commit(spark, f"{layers.root}/generations", _GENERATION, list(layers.generations))
+    path = f"{layers.root}/generations"
+    number = max((r.number for r in _log(spark, path, _GENERATION)), default=0) + 1
+    _append(spark, path, _GENERATION, number, list(layers.generations))
 
 
 _GENERATION = "number long, dataset string, generation string"
@@ -84,10 +86,9 @@ def _log(spark: SparkSession, path: str, schema: str) -> list[Row]:
         return []
 
 
-def _commit(spark: SparkSession, path: str, schema: str, rows: list[tuple]) -> None:
-    """Append ``rows`` to a commit log under the next number."""
+def _append(spark: SparkSession, path: str, schema: str, number: int, rows: list[tuple]) -> None:
+    """One commit: ``rows`` under their number."""
     if rows:
-        number = max((r.number for r in _log(spark, path, schema)), default=0) + 1
         spark.createDataFrame([(number, *r) for r in rows], schema).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -140,20 +141,60 @@ def append_available(df: DataFrame, path: str, checkpoint: str, name: str | None
     return query
 
 
+class Versions:
+    """The versions of a materialized table, as its commit log has them when
+    this is made.  Each is a folder of its own."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.rows = spark, path, _log(spark, f"{path}/commits", _VERSION)
+
+    @property
+    def live(self) -> list[Row]:
+        gone = {r.folder for r in self.rows if r.expired}
+        return [r for r in self.rows if r.folder not in gone]
+
+    @property
+    def current(self) -> Row | None:
+        """(number, folder, batch) of the version that counts."""
+        return self.live[-1] if self.live else None
+
+    def replace(self, df: DataFrame, batch: int = -1, keep: int | None = None) -> None:
+        """``df`` as a new version, which counts once it is in the log; a
+        refresh that fails leaves the version before it.  ``batch``: the
+        micro-batch it includes.  With ``keep``, all but the last so many
+        versions are emptied (never the one that counts until now)."""
+        folder = f"{self.path}/v{uuid.uuid4().hex}"
+        df.write.parquet(folder)
+        old = [] if keep is None else self.live[:-1][:len(self.live) + 1 - keep]
+        self._empty(old)
+        self._commit([(folder, batch, False), *((r.folder, r.batch, True) for r in old)])
+
+    def expire(self, keep: int = 2) -> int:
+        """Empty the folders of all but the last ``keep`` versions; how many.
+        Readers of those versions are not protected."""
+        old = self.live[:-keep]
+        self._empty(old)
+        self._commit([(r.folder, r.batch, True) for r in old])
+        return len(old)
+
+    def _empty(self, rows: list[Row]) -> None:
+        for r in rows:
+            schema = self.spark.read.parquet(r.folder).schema
+            self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(r.folder)
+
+    def _commit(self, rows: list[tuple]) -> None:
+        number = max((r.number for r in self.rows), default=0) + 1
+        _append(self.spark, f"{self.path}/commits", _VERSION, number, rows)
+        self.rows += [Row(number=number, folder=f, batch=b, expired=e) for f, b, e in rows]
+
+
 def overwrite(df: DataFrame, path: str, batch: int = -1) -> None:
-    """A materialized table replaced, as a new version in a folder of its
-    own.  It counts once its row is in the commit log; a refresh that fails
-    leaves the version before it.  ``batch``: the micro-batch it includes."""
-    spark = df.sparkSession
-    folder = f"{path}/v{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    _commit(spark, f"{path}/commits", _VERSION, [(folder, batch, False)])
+    """A materialized table replaced, as a new version."""
+    Versions(df.sparkSession, path).replace(df, batch)
 
 
 def current_version(spark: SparkSession, path: str) -> Row | None:
-    """(number, folder, batch) of the version that counts."""
-    live = [r for r in _log(spark, f"{path}/commits", _VERSION) if not r.expired]
-    return live[-1] if live else None
+    return Versions(spark, path).current
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
@@ -164,19 +205,6 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(version.folder)
 
 
-def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
-    """Empty the folders of all but the last ``keep`` versions; how many.
-    Readers that began before the last ``keep`` refreshes are not protected."""
-    rows = _log(spark, f"{path}/commits", _VERSION)
-    gone = {r.folder for r in rows if r.expired}
-    old = [r for r in rows if not r.expired and r.folder not in gone][:-keep]
-    for r in old:
-        schema = spark.read.parquet(r.folder).schema
-        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(r.folder)
-    _commit(spark, f"{path}/commits", _VERSION, [(r.folder, r.batch, True) for r in old])
-    return len(old)
-
-
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     """S9 in one session: lazy views over DataFrames (see ``sources.catalog``
     for views that outlive it)."""

@@ -34,9 +34,9 @@ from paceline.operators.model import (DIMENSIONS, FACT_COLUMNS, StarSchema, dim_
 from paceline.plans.views import VIEWS
 from paceline.sources.catalog import Catalog
 from paceline.sources.csv import header_schema, stream_csv
-from paceline.sources.tables import (Layers, append_available, current_version, expire_versions, next_generation,
-                                     open_layers, overwrite, publish_generations, read_current, read_table,
-                                     register_views, stream_table, with_comment)
+from paceline.sources.tables import (Layers, Versions, append_available, current_version, next_generation, open_layers,
+                                     publish_generations, read_current, read_table, register_views, stream_table,
+                                     with_comment)
 
 MAIN, SECOND, COUNTRIES = "raw_results", "raw_second_results", "raw_country_code"
 SOURCES = (MAIN, SECOND, COUNTRIES)
@@ -148,15 +148,14 @@ def refresh_dimensions(spark: SparkSession, layers: Layers, keep: int = 2) -> No
     """
     def merge(batch: DataFrame, number: int) -> None:
         for name, (state_of, merged, _) in DIMENSIONS.items():
-            path = layers.table("gold", name)
-            last = current_version(spark, path)
+            versions = Versions(spark, layers.table("gold", name))
+            last = versions.current
             if last is not None and last.batch >= number:
                 continue
             state = state_of(batch)
             if last is not None:
                 state = merged(spark.read.parquet(last.folder).unionByName(state))
-            overwrite(with_comment(state, COMMENTS["gold"][name]), path, number)
-            expire_versions(spark, path, keep)
+            versions.replace(with_comment(state, COMMENTS["gold"][name]), number, keep)
 
     silver = layers.table("silver", "results_clean")
     query = (stream_table(spark, silver).writeStream.foreachBatch(merge)
@@ -164,10 +163,11 @@ def refresh_dimensions(spark: SparkSession, layers: Layers, keep: int = 2) -> No
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    for name, (state_of, _, _) in DIMENSIONS.items():             # no batch yet: empty dimensions
-        if current_version(spark, layers.table("gold", name)) is None:
-            empty = state_of(read_table(spark, silver).limit(0))
-            overwrite(with_comment(empty, COMMENTS["gold"][name]), layers.table("gold", name))
+    if not query.recentProgress or query.lastProgress["numInputRows"] == 0:
+        for name, (state_of, _, _) in DIMENSIONS.items():             # no batch ever: empty dimensions
+            versions = Versions(spark, layers.table("gold", name))
+            if versions.current is None:
+                versions.replace(with_comment(state_of(read_table(spark, silver).limit(0)), COMMENTS["gold"][name]))
 
 
 def recompute_dimensions(spark: SparkSession, layers: Layers, names: tuple[str, ...] = tuple(DIMENSIONS)) -> dict[str, DataFrame]:

@@ -12,7 +12,7 @@ from paceline.plans.views import VIEWS
 from paceline.session import fresh_dir
 from paceline.sources.catalog import Catalog
 from paceline.sources.csv import read_quoted_csv, stream_csv, write_csv
-from paceline.sources.tables import (Layers, append_available, comment_of, current_version, expire_versions, open_layers,
+from paceline.sources.tables import (Layers, Versions, append_available, comment_of, current_version, open_layers,
                                      overwrite, publish_generations, read_current, read_table)
 from paceline.streaming import pipeline as P
 from paceline.streaming.queries import land_first_drop, land_second_drop
@@ -190,9 +190,24 @@ def test_old_versions_are_emptied(spark):
     for n in range(1, 6):
         overwrite(spark.range(n).toDF("id"), path)
         folders.append(current_version(spark, path).folder)
-        expire_versions(spark, path)
+        Versions(spark, path).expire()
     assert [spark.read.parquet(f).count() for f in folders] == [0, 0, 0, 4, 5]
-    assert read_current(spark, path).count() == 5 and expire_versions(spark, path) == 0
+    assert read_current(spark, path).count() == 5 and Versions(spark, path).expire() == 0
+
+
+def test_a_replacement_empties_what_it_need_not_keep(spark):
+    path = fresh_dir(spark, "test-replace") + "/t"
+    for n in range(1, 5):
+        Versions(spark, path).replace(spark.range(n).toDF("id"), batch=n, keep=2)
+    rows = Versions(spark, path)
+    assert [r.batch for r in rows.live] == [3, 4] and read_current(spark, path).count() == 4
+    assert [spark.read.parquet(r.folder).count() for r in rows.rows if not r.expired] == [0, 0, 3, 4]
+    broken = spark.range(5).selectExpr("CASE WHEN id = 4 THEN raise_error('stop') ELSE id END AS id")
+    with pytest.raises(Exception, match="stop"):
+        Versions(spark, path).replace(broken, batch=5, keep=1)
+    assert read_current(spark, path).count() == 4
+    Versions(spark, path).replace(spark.range(9).toDF("id"), batch=6, keep=1)
+    assert [spark.read.parquet(r.folder).count() for r in Versions(spark, path).live] == [4, 9]
 
 
 def test_a_large_landed_file_is_read_by_many_tasks(spark):
