@@ -11,14 +11,16 @@ that occurs ``min_count`` times inside pieces is a candidate; its score is
    all are.  Phrases that share a hash only add up, so a sum below
    ``min_count`` rules a phrase out for certain.  Hashes that pass are
    broadcast as a bitmap of at most ``2 ** BITMAP_BITS`` bits, whatever their
-   number (a fuller bitmap lets more through, never less), and one pass
-   collects the phrases that they stand for.
+   number (a fuller bitmap lets more through, never less).  One more pass
+   collects the phrases that they stand for, in rounds over growing ``PARTS``
+   of the texts: what a round has found, the next ones no longer look for.
 3. Candidates are dealt into tries of ``TRIE_BYTES`` each.  A trie is built as a
    double array (state and word give the next state by one addition and one
    comparison), and broadcast.  Numpy advances the states of all text
    positions of a batch at once, level by level, and counts the accepting
    states with bincount; Spark adds up the counts of the tasks.  These counts
-   are exact and decide.
+   are exact and decide.  Where they add up to less than their hash's count,
+   another phrase has the same hash: it is looked for in all texts.
 4. Cuts, containment and ranks are joins and grouped aggregates; each
    language's best are first taken in buckets, so no language is sorted in one
    task.
@@ -33,6 +35,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,7 @@ BITMAP_BITS = 29             # 64 MB at most
 TRIE_BYTES = 16 << 20        # of a trie's phrases, before it is built
 BATCH_BYTES = 4 << 20
 TOP_BUCKETS = 64
+PARTS = (64, 8, 1)           # one text in so many, in the rounds that collect phrases
 BREAK = b"\xff"              # between pieces; not a byte of UTF-8
 _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -101,7 +105,7 @@ class _WordHashes(dict):
         return h
 
     def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self[w] for w in words), np.uint64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def _seed(lang: str) -> np.uint64:
@@ -182,7 +186,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def count_hashes(texts: DataFrame, maps: list[Bitmap], most: int, min_count: int) -> DataFrame:
-    """(k, h) of the phrase hashes that occur ``min_count`` times, for phrases
+    """(k, h, n) of the phrase hashes that occur ``min_count`` times, for phrases
     of more words than ``maps`` covers, up to ``most``."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(maps)
@@ -203,46 +207,58 @@ def count_hashes(texts: DataFrame, maps: list[Bitmap], most: int, min_count: int
             for k, _, h in live(hashes.array(words), _seed(lang), known, most):
                 if k > len(known) and len(h):
                     held.setdefault(k, []).append(h)
-            if sum(len(h) for parts in held.values() for h in parts) > 2_000_000:
+            if sum(len(h) for parts in held.values() for h in parts) > 3_000_000:
                 yield from rows()
                 held.clear()
         yield from rows()
 
     found = texts.mapInArrow(run, "k int, h long, n long")
-    return found.groupBy("k", "h").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).select("k", "h")
+    return found.groupBy("k", "h").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
 
-def collect_phrases(texts: DataFrame, maps: list[Bitmap]) -> DataFrame:
-    """(lang, phrase) of two or more words whose hash, and those of all parts, pass."""
-    shared = texts.sparkSession.sparkContext.broadcast(maps)
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def collect_phrases(texts: DataFrame, maps: list[Bitmap], wanted: list[Bitmap]) -> DataFrame:
+    """(lang, phrase, k, h) of two or more words whose parts pass ``maps`` and
+    whose own hash is in ``wanted`` (both by number of words)."""
+    shared = texts.sparkSession.sparkContext.broadcast((maps, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = _WordHashes(), shared.value
-        seen: set[tuple[str, bytes]] = set()
+        hashes, (known, asked) = _WordHashes(), shared.value
+        seen: dict[tuple[str, bytes], tuple[int, int]] = {}
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in seen], pa.string()),
-                                               pa.array([p.decode() for _, p in seen], pa.string())], ["lang", "phrase"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in seen], pa.string()), pa.array([p.decode() for _, p in seen], pa.string()),
+                 pa.array([k for k, _ in seen.values()], pa.int32()),
+                 pa.array(np.array([h for _, h in seen.values()], np.uint64).view(np.int64))], ["lang", "phrase", "k", "h"])
 
         for lang, words in _batches(batches):
-            number: dict[bytes, int] = {}
-            ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+            ids = None
             for k, at, h in live(hashes.array(words), _seed(lang), known, len(known)):
-                passed = known[k - 1].has(h)
-                if k > 1 and passed.any():
-                    places = _one_each(ids, at[passed], h[passed], k)
-                    seen.update((lang, b" ".join(words[i:i + k])) for i in places.tolist())
+                passed = asked[k - 1].has(h) if k > 1 else np.zeros(len(h), bool)
+                if passed.any():
+                    if ids is None:
+                        ids = np.fromiter(map(_Numbers().__getitem__, words), np.int64, len(words))
+                    at, h = at[passed], h[passed]
+                    pick = _one_each(ids, at, h, k)
+                    for i, x in zip(at[pick].tolist(), h[pick].tolist()):
+                        seen[lang, b" ".join(words[i:i + k])] = k, x
             if len(seen) > 200_000:
                 yield rows()
                 seen.clear()
         yield rows()
 
-    return texts.mapInArrow(run, "lang string, phrase string").distinct()
+    return texts.mapInArrow(run, "lang string, phrase string, k int, h long").distinct()
 
 
 def _one_each(ids: np.ndarray, at: np.ndarray, h: np.ndarray, k: int) -> np.ndarray:
-    """Places of at least one occurrence of every different phrase, also of
-    those that share a hash."""
+    """Which of the places ``at`` to read: at least one of every different
+    phrase, also of those that share a hash."""
     order = np.argsort(h, kind="stable")
     new = np.append(True, h[order[1:]] != h[order[:-1]])
     place = at[order]
@@ -250,7 +266,7 @@ def _one_each(ids: np.ndarray, at: np.ndarray, h: np.ndarray, k: int) -> np.ndar
     other = np.zeros(len(place), bool)
     for j in range(k):
         other |= ids[place + j] != ids[lead + j]
-    return place[new | other]
+    return order[new | other]
 
 
 # ------------------------------------------------------------------- tries
@@ -331,8 +347,7 @@ class DoubleArray:
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         """Code of each word; 0: in no phrase."""
-        get = self.code.get
-        return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.code.get, words, repeat(0)), np.int64, len(words))
 
     def accepted(self, lang: str, codes: np.ndarray) -> Iterator[np.ndarray]:
         """Level by level: the numbers of the phrases that start anywhere."""
@@ -433,16 +448,40 @@ def best(scored: DataFrame, top: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= top)
 
 
+def _bitmaps(hashes: DataFrame, max_words: int, bits: int) -> list[Bitmap]:
+    """Of (k, h), for phrases of 2 to ``max_words`` words."""
+    return [bitmap(hashes.filter(F.col("k") == k), bits) for k in range(2, max_words + 1)]
+
+
 def candidates(texts: DataFrame, words: DataFrame, min_count: int, max_words: int,
-               bitmap_bits: int = BITMAP_BITS) -> DataFrame:
-    """(lang, phrase): every phrase that may occur ``min_count`` times."""
+               bitmap_bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame, list[Bitmap]]:
+    """(lang, phrase, k, h) of the phrases that may occur ``min_count`` times,
+    one at least for each of the hashes (k, h, n), and the hashes' bitmaps."""
     maps = [bitmap(words.filter(F.col("f") >= min_count).select("h"), bitmap_bits)]
-    pairs = spool(count_hashes(texts, maps, 2, min_count), "collocations-pairs")
-    maps.append(bitmap(pairs, bitmap_bits))
+    hashes = spool(count_hashes(texts, maps, 2, min_count), "collocations-pairs")
+    maps.append(bitmap(hashes, bitmap_bits))
     if max_words > 2:
         more = spool(count_hashes(texts, maps, max_words, min_count), "collocations-longer")
-        maps += [bitmap(more.filter(F.col("k") == k), bitmap_bits) for k in range(3, max_words + 1)]
-    return collect_phrases(texts, maps)
+        hashes = hashes.unionByName(more)
+        maps += _bitmaps(more, max_words, bitmap_bits)[1:]
+    found, wanted, tag = None, maps, F.pmod(F.xxhash64("text"), F.lit(PARTS[0]))
+    for i, part in enumerate(PARTS):
+        # each text is in one round
+        inside = F.pmod(tag, F.lit(part)) == 0
+        before = F.pmod(tag, F.lit(PARTS[i - 1])) == 0 if i else F.lit(False)
+        new = spool(collect_phrases(texts.filter(inside & ~before), maps, wanted), "collocations-candidates")
+        found = new if found is None else found.unionByName(new)
+        if i + 1 < len(PARTS):
+            open_ = spool(hashes.join(found.select("k", "h").distinct(), ["k", "h"], "left_anti"), "collocations-open")
+            wanted = [maps[0], *_bitmaps(open_, max_words, bitmap_bits)]
+    # a full bitmap may let a phrase through again
+    return found.distinct(), hashes, maps
+
+
+def missed(hashes: DataFrame, counted: DataFrame) -> DataFrame:
+    """The hashes that occur more often than the phrases ``counted`` with them."""
+    have = counted.groupBy("k", "h").agg(F.sum("f").alias("f"))
+    return hashes.join(have, ["k", "h"], "left").filter(F.col("n") > F.coalesce("f", F.lit(0))).select("k", "h")
 
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, top: int = TOP,
@@ -452,8 +491,15 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
         raise ValueError("phrases have two words or more and occur")
     texts = _texts(docs)
     words = spool(count_words(texts), "collocations-words")
-    found = spool(candidates(texts, words, min_count, max_words, bitmap_bits), "collocations-candidates")
-    phrases = spool(count_phrases(texts, found, trie_bytes).filter(F.col("f") >= min_count), "collocations-phrases")
+    found, hashes, maps = candidates(texts, words, min_count, max_words, bitmap_bits)
+    found = spool(found, "collocations-candidates")
+    counted = spool(count_phrases(texts, found, trie_bytes).join(found, ["lang", "phrase"]), "collocations-counted")
+    lost = spool(missed(hashes, counted), "collocations-lost")
+    if not lost.isEmpty():
+        again = collect_phrases(texts, maps, [maps[0], *_bitmaps(lost, max_words, bitmap_bits)])
+        again = spool(again.join(found, ["lang", "phrase"], "left_anti"), "collocations-candidates")
+        counted = counted.unionByName(count_phrases(texts, again, trie_bytes).join(again, ["lang", "phrase"]))
+    phrases = spool(counted.filter(F.col("f") >= min_count).select("lang", "phrase", "f"), "collocations-phrases")
     common = words.filter(F.col("f") >= min_count).select("lang", F.col("word").alias("part"), "f")
     scored = weakest_cuts(phrases, common.unionByName(phrases.select("lang", F.col("phrase").alias("part"), "f")))
     covered = F.coalesce(_wide(F.col("longest")) * _wide(100) >= _wide(F.col("a")) * _wide(COVER_PERCENT), F.lit(False))

@@ -160,10 +160,13 @@ def test_double_array_accepts_its_phrases_only():
         assert got == expected
 
 
-def test_phrases_that_share_a_hash_are_all_collected():
+def test_phrases_that_share_a_hash_are_all_collected(spark):
     ids, at = np.array([1, 2, 3, 4, 1, 2]), np.array([0, 2, 4])
-    places = collocations._one_each(ids, at, np.array([7, 7, 7], np.uint64), 2)
+    places = at[collocations._one_each(ids, at, np.array([7, 7, 7], np.uint64), 2)]
     assert {tuple(ids[i:i + 2]) for i in places} == {(1, 2), (3, 4)}
+    hashes = spark.createDataFrame([(2, 5, 50), (2, 6, 40), (3, 5, 30), (2, 9, 31)], "k int, h long, n long")
+    counted = spark.createDataFrame([(2, 5, 20), (2, 5, 30), (2, 6, 39), (3, 5, 30)], "k int, h long, f long")
+    assert sorted(tuple(r) for r in collocations.missed(hashes, counted).collect()) == [(2, 6), (2, 9)]
 
 
 def test_collocations_of_odd_rows(odd_docs, no_docs):
