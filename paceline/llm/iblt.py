@@ -46,7 +46,7 @@ BASE_CELLS = 3          # cells a table in the published fingerprint
 LEAST_CELLS = 8         # cells a table when comparing
 CELLS_PER_DIGEST = 0.55  # a table, of the digests of both texts together
 PASSES = 6
-RANGE_BYTES = 4 << 20   # of the texts in a range; one text may be longer
+RANGE_BYTES = 1 << 20   # of the texts in a range; one text may be longer
 MOST_RANGES = 100_000   # the driver holds two numbers of each; beyond, ranges grow
 _CUT = rf"\n|(?<=[.!?|*#$%&]){SPACE_CLASS}+"
 _LOWEST = -(1 << 63)
