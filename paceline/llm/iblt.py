@@ -119,7 +119,8 @@ def with_successor(docs: DataFrame) -> tuple[DataFrame, int]:
     if order:
         following = [(i, *order[(i + 1) % len(order)]) for i in range(len(order))]
         wanted = docs.sparkSession.createDataFrame(following, "range int, key long, tie long")
-        guests = keyed.join(wanted, ["key", "tie"]).dropDuplicates(["range", "key", "tie"])
+        # a few numbers for each range: without the hint the texts would be shuffled for this join too
+        guests = keyed.join(F.broadcast(wanted), ["key", "tie"]).dropDuplicates(["range", "key", "tie"])
         home = home.unionByName(guests.withColumn("guest", F.lit(True)))
     w = Window.partitionBy("range").orderBy("guest", F.desc("key"), F.desc("tie"))
     rows = home.repartition(max(1, len(order)), "range").withColumns(
@@ -160,11 +161,12 @@ def differences(pairs: DataFrame, ids: list[str], cells_per_digest: float = CELL
 
     Returns ids, n_x, n_y, the recovered digests ``plus`` (only in x) and
     ``minus`` (only in y), and left (cells that could not be peeled).
-    Recovered digests travel as rows of the cells -1 and -2.
+    Recovered digests travel as rows of the cells -1 and -2, the two sizes as
+    the row of the cell -3.
     """
     size = F.greatest(F.lit(LEAST_CELLS), F.ceil((F.size("x") + F.size("y")) * cells_per_digest)).cast("int")
-    ids = [*ids, "n_x", "n_y", "size"]
-    pairs = pairs.withColumns({"n_x": F.size("x"), "n_y": F.size("y"), "size": size})
+    ids = [*ids, "size"]
+    pairs = pairs.withColumn("size", size)
     zero = F.lit(0).cast("long")
 
     def entry(cell: Column, n: Column, k: Column, c: Column, digest: Column = zero) -> Column:
@@ -174,12 +176,12 @@ def differences(pairs: DataFrame, ids: list[str], cells_per_digest: float = CELL
     def put(key: Column, sign: Column) -> list[Column]:
         return [entry(cell_of(key, t, F.col("size")), sign, key, check_of(key)) for t in range(HASHES)]
 
+    sizes = entry(F.lit(-3), zero, F.size("x").cast("long"), F.size("y").cast("long"))     # also keeps pairs without any digest
     signed = pairs.select(*ids, F.explode(F.concat(
-        F.transform("x", lambda k: F.struct(k.alias("k"), F.lit(1).alias("s"))),
-        F.transform("y", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("s"))),
-        # keeps pairs without any digest
-        F.array(F.struct(zero.alias("k"), F.lit(0).alias("s"))))).alias("e"))
-    rows = signed.select(*ids, F.explode(F.when(F.col("e.s") == 0, F.array(entry(F.lit(-3), zero, zero, zero)))
+        F.transform("x", lambda k: F.struct(k.alias("k"), F.lit(1).alias("s"), zero.alias("c"))),
+        F.transform("y", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("s"), zero.alias("c"))),
+        F.array(F.struct(sizes["k"].alias("k"), F.lit(0).alias("s"), sizes["c"].alias("c"))))).alias("e"))
+    rows = signed.select(*ids, F.explode(F.when(F.col("e.s") == 0, F.array(entry(F.lit(-3), zero, F.col("e.k"), F.col("e.c"))))
                                          .otherwise(F.array(*put(F.col("e.k"), F.col("e.s"))))).alias("r")).select(*ids, "r.*")
 
     def settle(rows: DataFrame) -> DataFrame:
@@ -204,7 +206,10 @@ def differences(pairs: DataFrame, ids: list[str], cells_per_digest: float = CELL
 
     def side(cell: int) -> Column:
         return F.collect_list(F.when(F.col("cell") == cell, F.col("digest")))
-    return cells.groupBy(*ids).agg(side(-1).alias("plus"), side(-2).alias("minus"),
+
+    def told(column: str) -> Column:
+        return F.max(F.when(F.col("cell") == -3, F.col(column))).cast("int")
+    return cells.groupBy(*ids).agg(told("k").alias("n_x"), told("c").alias("n_y"), side(-1).alias("plus"), side(-2).alias("minus"),
                                    F.count(F.when(F.col("cell") >= 0, 1)).alias("left")).drop("size")
 
 

@@ -257,6 +257,14 @@ def test_ranges_cut_within_an_id(spark, monkeypatch):
     assert sorted(r.next_text for r in own) == sorted(t for _, t in rows)       # one circle
 
 
+def test_texts_move_once_to_their_successors(spark, monkeypatch):
+    monkeypatch.setattr(iblt, "RANGE_BYTES", 500)
+    rows = [(i, f"text {i}. and more {i % 5}.") for i in range(200)]
+    found, _ = iblt.with_successor(spark.createDataFrame(rows, TEXTS))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_fingerprints_of_odd_rows(spark, odd_docs, no_docs):
     found = iblt.compare_neighbours(odd_docs).collect()
     texts = [(r.doc_id, r.text or "") for r in odd_docs.collect()]
