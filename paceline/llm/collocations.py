@@ -10,8 +10,9 @@ that occurs ``min_count`` times inside pieces is a candidate; its score is
    for pairs whose two words are frequent, then for longer phrases whose pairs
    all are.  Phrases that share a hash only add up, so a sum below
    ``min_count`` rules a phrase out for certain.  Hashes that pass are
-   broadcast as a bitmap of at most ``2 ** BITMAP_BITS`` bits, whatever their
-   number (a fuller bitmap lets more through, never less).  One more pass
+   broadcast as a bitmap of at most ``2 ** BITMAP_BITS`` bits, three set for
+   each hash, whatever their number (a fuller bitmap lets more through, never
+   less).  One more pass
    collects the phrases that they stand for, in rounds over growing ``PARTS``
    of the texts: what a round has found, the next ones no longer look for.
 3. Candidates are dealt into tries of ``TRIE_BYTES`` each.  A trie is built as a
@@ -70,10 +71,11 @@ def tokens(text: str) -> list[bytes]:
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
     """(language, tokens) of a few megabytes of texts at a time."""
     def grouped(rows: list[tuple[str, str]]) -> Iterator[tuple[str, list[bytes]]]:
-        by_lang: dict[str, list[bytes]] = {}
+        by_lang: dict[str, list[str]] = {}
         for lang, text in rows:
-            by_lang.setdefault(lang, []).extend(tokens(text))
-        yield from by_lang.items()
+            by_lang.setdefault(lang, []).append(text)
+        for lang, texts in by_lang.items():
+            yield lang, tokens("\n".join(texts))         # a line end is a break
 
     rows, size = [], 0
     for batch in batches:
@@ -109,18 +111,28 @@ class _WordHashes(dict):
 
 
 def _seed(lang: str) -> np.uint64:
-    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
+    # not the hash of a word: with it, "es" before a word in "en" would be "en" before it in "es"
+    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), 1))
 
 
 class Bitmap:
-    """Which hashes may be frequent, by their first ``bits`` bits."""
+    """Which hashes may be frequent, by ``bits`` of their bits in three places."""
 
     def __init__(self, bits: int, words: np.ndarray):
         self.bits, self.words = bits, words
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        slot = h >> np.uint64(64 - self.bits)
-        return (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+        on = np.arange(len(h))
+        for shift in self.shifts(self.bits):
+            slot = h[on] >> np.uint64(shift) & np.uint64((1 << self.bits) - 1)
+            on = on[(self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        out = np.zeros(len(h), bool)
+        out[on] = True
+        return out
+
+    @staticmethod
+    def shifts(bits: int) -> tuple[int, int, int]:
+        return 64 - bits, 0, 18
 
 
 def bitmap(hashes: DataFrame, most_bits: int = BITMAP_BITS) -> Bitmap:
@@ -128,9 +140,11 @@ def bitmap(hashes: DataFrame, most_bits: int = BITMAP_BITS) -> Bitmap:
     the words of a bitmap whose size is bounded."""
     n = hashes.count()
     bits = min(most_bits, max(12, math.ceil(math.log2(64 * n + 1))))
-    slot = F.shiftrightunsigned(F.col("h"), 64 - bits)
-    marked = hashes.select(F.shiftright(slot, 6).alias("word"),
-                           F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int")).alias("bit"))
+    slots = [F.shiftrightunsigned(F.col("h"), shift).bitwiseAND(F.lit((1 << bits) - 1)) for shift in Bitmap.shifts(bits)]
+    slot = F.col("slot")
+    marked = hashes.select(F.explode(F.array(*slots)).alias("slot")).select(
+        F.shiftright(slot, 6).alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int")).alias("bit"))
     words = np.zeros(1 << (bits - 6), np.uint64)
     found = marked.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
     words[found["word"].to_numpy()] = found["bit"].to_numpy().view(np.uint64)

@@ -169,6 +169,20 @@ def test_phrases_that_share_a_hash_are_all_collected(spark):
     assert sorted(tuple(r) for r in collocations.missed(hashes, counted).collect()) == [(2, 6), (2, 9)]
 
 
+def test_a_word_that_names_a_language_shares_no_hash(spark):
+    h = collocations._WordHashes()
+    def of(lang, word):
+        return collocations.step(collocations._seed(lang), np.uint64(h[word]))
+    assert of("es", b"en") != of("en", b"es")
+
+
+def test_bitmaps_let_few_others_through(spark):
+    rng = np.random.default_rng(3)
+    mine, others = rng.integers(0, 2**64, (2, 4000), np.uint64, endpoint=False)
+    some = collocations.bitmap(spark.createDataFrame([(int(x),) for x in mine.view(np.int64)], "h long"))
+    assert some.has(mine).all() and some.has(others).sum() < 8
+
+
 def test_collocations_of_odd_rows(odd_docs, no_docs):
     assert collocations.mine(no_docs).count() == 0
     found = collocations.mine(odd_docs, min_count=2).collect()
