@@ -20,10 +20,10 @@ product for all different contexts of a few megabytes of text, go through
 log-sum-exp; within a class a word has its share of the class's occurrences.
 The probabilities of all known words, the unknown one and the end add up to 1.
 
-Texts travel in blocks of a few megabytes.  The most frequent words are
-broadcast with their counts (``KNOWN`` words of at most 64 bytes); of the
-others, each block asks for its own by a join, one row a word and block.  The
-driver holds those words, the parameters and 64 class sums, whatever the input.
+Texts are cut up once and travel in blocks of a few megabytes, as numbers of
+the block's different words.  The most frequent words are broadcast with their
+counts (``KNOWN`` words of at most 64 bytes); of the others, each block asks
+for its own by a join, one row a word and block.  The driver holds those words, the parameters and 64 class sums, whatever the input.
 
 Null and empty texts are one end.  Null training flags are false; without
 training documents every token is unknown.  Rows are scored one by one,
@@ -34,9 +34,7 @@ one are replaced.
 from __future__ import annotations
 
 import dataclasses
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -65,23 +63,33 @@ ADDED = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 # ------------------------------------------------------------------- blocks
 
-def _blocks(docs: DataFrame, training: Column) -> DataFrame:
-    """(block, rows, train, sizes, z): a few megabytes of documents in a row."""
+def _blocks(docs: DataFrame, training: Column, want_text: bool = False) -> DataFrame:
+    """(block, rows, train, lengths, tokens, words, seen): a few megabytes of
+    documents in a row, cut up once; ``seen``: how often each word is in the
+    block's training documents.  ``want_text`` adds (sizes, z), the texts."""
     others = [c for c in docs.columns if c not in ("text", *ADDED)]
     row = F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias("_"))
     flat = docs.select(row.alias("row"), F.coalesce(training, F.lit(False)).alias("train"), "text")
+    ints = T.ArrayType(T.IntegerType())
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(flat.schema["row"].dataType)),
-                           T.StructField("train", T.ArrayType(T.BooleanType())),
-                           T.StructField("sizes", T.ArrayType(T.IntegerType())), T.StructField("z", T.BinaryType())])
+                           T.StructField("train", T.ArrayType(T.BooleanType())), T.StructField("lengths", ints),
+                           *[T.StructField(c, T.BinaryType()) for c in ("tokens", "words", "seen")]])
+    if want_text:
+        schema = schema.add("sizes", ints).add("z", T.BinaryType())
 
     def one(rows: pa.RecordBatch, texts: list[bytes | None], number: int) -> pa.RecordBatch:
-        z = zstandard.ZstdCompressor(level=3).compress(b"".join(t or b"" for t in texts))
-        whole = pa.array([0, len(texts)], pa.int32())
-        sizes = pa.array([-1 if t is None else len(t) for t in texts], pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.ListArray.from_arrays(whole, pa.concat_arrays([rows.column(0)])),
-             pa.ListArray.from_arrays(whole, pa.concat_arrays([rows.column(1)])), pa.ListArray.from_arrays(whole, sizes),
-             pa.array([z], pa.binary())], schema.names)
+        block, whole = Block.of(texts), pa.array([0, len(texts)], pa.int32())
+        lists = [pa.concat_arrays([rows.column(0)]), pa.concat_arrays([rows.column(1)]), pa.array(block.lengths.astype(np.int32))]
+        mine = np.repeat(np.array(rows.column(1).to_pylist(), bool), block.lengths) & (block.flat >= 0)
+        packed = [_squeezed(block.flat.astype(np.int32).tobytes()), _squeezed(b" ".join(block.number)),
+                  _squeezed(np.bincount(block.flat[mine], minlength=len(block.number)).astype(np.int64).tobytes())]
+        if want_text:
+            lists.append(pa.array([-1 if t is None else len(t) for t in texts], pa.int32()))
+            packed.append(_squeezed(b"".join(t or b"" for t in texts)))
+        columns = [pa.ListArray.from_arrays(whole, x) for x in lists]
+        columns[3:3] = [pa.array([z], pa.binary()) for z in packed[:3]]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *columns, *(pa.array([z], pa.binary()) for z in packed[3:])],
+                                          schema.names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -101,8 +109,20 @@ def _blocks(docs: DataFrame, training: Column) -> DataFrame:
     return flat.mapInArrow(pack, schema)
 
 
-def _texts(sizes: list[int], z: bytes) -> Iterator[bytes | None]:
-    raw, at = zstandard.ZstdDecompressor().decompress(z), 0
+def _squeezed(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def _loose(z: pa.Scalar) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(z.as_py())
+
+
+def _numbers(z: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(_loose(z), kind).astype(np.int64)
+
+
+def _texts(sizes: list[int], raw: bytes) -> Iterator[bytes | None]:
+    at = 0
     for n in sizes:
         yield None if n < 0 else raw[at:at + n]
         at += max(n, 0)
@@ -118,26 +138,25 @@ def _split(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()                 # A-Z only, ASCII white space
 
 
-def distinct_words(sizes: list[int], z: bytes) -> dict[bytes, None]:
-    """A block's words in the order of their first appearance."""
-    return dict.fromkeys(chain.from_iterable(map(_split, _texts(sizes, z))))
-
-
 class Block:
-    """Tokens of a block's documents: per word a number by first appearance."""
+    """Tokens of a block's documents: ``flat`` has the number of each token's
+    word in ``number``, in the order of first appearance, or -1 for the end."""
+
+    def __init__(self, lengths: np.ndarray, flat: np.ndarray, number: list[bytes]):
+        self.lengths, self.flat, self.number = lengths, flat, number
+        self.start = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
 
-    def __init__(self, sizes: list[int], z: bytes):
-        self.texts = list(_texts(sizes, z))
-        self.number: dict[bytes, int] = _Numbers()
-        number, lengths = self.number.__getitem__, []
+    @staticmethod
+    def of(texts: list[bytes | None]) -> Block:
+        words = _Numbers()
+        number, lengths = words.__getitem__, []
         flat: list[int] = []
-        for t in self.texts:
+        for t in texts:
             split = _split(t)
             flat.extend(map(number, split))
             flat.append(-1)                              # the end
             lengths.append(len(split) + 1)
-        self.flat, self.lengths = np.array(flat, np.int64), np.array(lengths, np.int64)
-        self.start = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
+        return Block(np.array(lengths, np.int64), np.array(flat, np.int64), list(words))
 
 
 # --------------------------------------------------------------- vocabulary
@@ -167,42 +186,45 @@ class Vocabulary:
         out[1 + HEAD:] = self.class_sum
         return out + 0.5
 
-    def counts_of(self, block: Block, rare: list[dict]) -> np.ndarray:
+    def counts_of(self, block: Block, rare: pa.Scalar | list) -> np.ndarray:
         """Count of each of a block's words; ``rare``: those outside ``counts``."""
         get = self.counts.get
         out = np.fromiter((get(w, 0) for w in block.number), np.int64, len(block.number))
-        if rare:
-            out[[r["j"] for r in rare]] = [r["c"] for r in rare]
+        if isinstance(rare, pa.Scalar) and rare.is_valid:
+            place, count = rare.values.flatten()
+            out[place.to_numpy()] = count.to_numpy()
         return out
 
     def symbols_of(self, block: Block, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each of a block's words: its symbol, and its log share of it."""
         digits = np.frexp(np.maximum(counts, 1).astype(np.float64))[1] - 1      # 0: once or never
-        share = np.log(np.maximum(counts, 1) / np.where(digits == 0, self.singles + 1, np.maximum(self.class_sum[digits], 1)))
-        symbol = 1 + HEAD + digits
         get = self.head.get
         own = np.fromiter((get(w, -1) for w in block.number), np.int64, len(block.number))
-        return np.where(own >= 0, own, symbol), np.where(own >= 0, 0.0, share)
+        symbols = np.where(own >= 0, own, 1 + HEAD + digits)
+        return symbols, self.shares(symbols, counts)
+
+    def shares(self, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of each word: its log share of its symbol."""
+        digits = np.maximum(symbols - 1 - HEAD, 0)
+        share = np.log(np.maximum(counts, 1) / np.where(digits == 0, self.singles + 1, np.maximum(self.class_sum[digits], 1)))
+        return np.where(symbols <= HEAD, 0.0, share)
 
 
 def count_tokens(docs: DataFrame, training: Column) -> DataFrame:
     """(word, c) over the training documents, exactly."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted: Counter = Counter()
+    return _counted(_blocks(docs, training))
+
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counted], pa.string()),
-                                               pa.array(list(counted.values()), pa.int64())], ["word", "n"])
+def _counted(blocks: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0):
-                counted.update(text.as_py().encode().lower().split())
-                if len(counted) > 500_000:
-                    yield rows()
-                    counted.clear()
-        yield rows()
+            for words, seen in zip(*batch.columns):
+                words, seen = _loose(words).split(), _numbers(seen, np.int64)
+                some = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array([words[i].decode() for i in some.tolist()], pa.string()),
+                                                  pa.array(seen[some])], ["word", "n"])
 
-    texts = docs.filter(training & F.col("text").isNotNull()).select("text")
-    return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return blocks.select("words", "seen").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
@@ -224,23 +246,39 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
                       sum(r.c for r in sums) + ends, sum(r.n for r in sums) + (ends > 0), ends)
 
 
-def _with_rare_counts(blocks: DataFrame, counts: DataFrame, known: Vocabulary) -> DataFrame:
-    """``blocks`` with the counts of their words outside the broadcast ones."""
+def _with_symbols(blocks: DataFrame, counts: DataFrame, known: Vocabulary) -> DataFrame:
+    """``blocks`` with the count and the symbol of each of their words in place
+    of the words; the counts outside the broadcast ones come by a join."""
     shared = blocks.sparkSession.sparkContext.broadcast(known)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = shared.value.counts
         for batch in batches:
-            for number, sizes, z in zip(*batch.columns):
-                words = distinct_words(sizes.as_py(), z.as_py())
-                rare = [(w.decode(), j) for j, w in enumerate(words) if w not in have]
+            for number, words in zip(*batch.columns):
+                rare = [(w.decode(), j) for j, w in enumerate(_loose(words).split()) if w not in have]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w for w, _ in rare], pa.string()), pa.array([number.as_py()] * len(rare), pa.int64()),
                      pa.array([j for _, j in rare], pa.int32())], ["word", "block", "j"])
 
-    asked = blocks.select("block", "sizes", "z").mapInArrow(ask, "word string, block long, j int")
+    asked = blocks.select("block", "words").mapInArrow(ask, "word string, block long, j int")
     told = asked.join(counts, "word").groupBy("block").agg(F.collect_list(F.struct("j", "c")).alias("rare"))
-    return blocks.join(told, "block", "left")
+    told = blocks.drop("seen").join(told, "block", "left")
+    same = [c for c in told.columns if c not in ("words", "rare")]
+    names = [*same, "counts", "symbols"]
+    schema = T.StructType([told.schema[c] for c in same] + [T.StructField(c, T.BinaryType()) for c in names[-2:]])
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch in batches:
+            found = []
+            for words, rare in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)):
+                block = Block(np.array([], np.int64), np.array([], np.int64), _loose(words).split())
+                counts = vocabulary.counts_of(block, rare)
+                symbols, _ = vocabulary.symbols_of(block, counts)
+                found.append((_squeezed(counts.tobytes()), _squeezed(symbols.astype(np.int16).tobytes())))
+            yield pa.RecordBatch.from_arrays(batch.columns[:-2] + [pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], names)
+
+    return told.select(*same, "words", "rare").mapInArrow(look_up, schema)
 
 
 # -------------------------------------------------------------------- model
@@ -376,17 +414,16 @@ def train(ready: DataFrame, known: Vocabulary) -> Model:
     begin = F.col("block").eqNullSafe(F.lit(first))
     part = F.pmod(F.xxhash64("block"), F.lit(FIRST_PART)) == 0
     for blocks in (ready.filter(begin), ready.filter(~begin & part), ready.filter(~begin & ~part)):
-        shared = ready.sparkSession.sparkContext.broadcast((known, model, squares, frequencies / frequencies.sum()))
+        shared = ready.sparkSession.sparkContext.broadcast((model, squares, frequencies / frequencies.sum()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocabulary, start, steps, noise = shared.value
+            start, steps, noise = shared.value
             trainer = None
             for batch in batches:
-                for number, flags, sizes, z, rare in zip(*batch.columns):
+                for number, flags, lengths, tokens, of_word in zip(*batch.columns):
                     trainer = trainer or Trainer(start, steps, noise, number.as_py() % (1 << 31))
-                    block = Block(sizes.as_py(), z.as_py())
-                    of_word, _ = vocabulary.symbols_of(block, vocabulary.counts_of(block, rare.as_py()))
-                    symbols = _token_symbols(block, of_word)
+                    block = Block(np.array(lengths.as_py(), np.int64), _numbers(tokens, np.int32), [])
+                    symbols = _token_symbols(block, _numbers(of_word, np.int16))
                     mine = np.repeat(np.array(flags.as_py(), bool), block.lengths)
                     trainer.text(symbols[mine], contexts_of(symbols, block.start, block.lengths)[mine])
             if trainer:
@@ -395,7 +432,7 @@ def train(ready: DataFrame, known: Vocabulary) -> Model:
                     [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * trainer.tokens),
                      pa.array(np.full(len(flat), float(trainer.tokens)))], ["i", "x", "w"])
 
-        learned = blocks.select("block", "train", "sizes", "z", "rare").mapInArrow(run, "i int, x double, w double")
+        learned = blocks.select("block", "train", "lengths", "tokens", "symbols").mapInArrow(run, "i int, x double, w double")
         rows = learned.groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).toArrow()      # one number a parameter
         if rows.num_rows:
             flat = rows["x"].to_numpy()[np.argsort(rows["i"].to_numpy())]
@@ -409,10 +446,10 @@ def score(docs: DataFrame, training: Column, want_text: bool = True) -> DataFram
     counts, ``score`` by the model.  The model learns from the documents that
     ``training`` chooses.  Without ``want_text`` the text is dropped."""
     training = F.coalesce(training, F.lit(False))
-    counts = spool(count_tokens(docs, training), "lm-counts")
+    blocks = spool(_blocks(docs, training, want_text), "lm-blocks")
+    counts = spool(_counted(blocks), "lm-counts")
     known = vocabulary(counts, docs.filter(training).count())
-    blocks = spool(_blocks(docs, training), "lm-blocks")
-    ready = spool(_with_rare_counts(blocks, counts, known), "lm-ready")
+    ready = spool(_with_symbols(blocks, counts, known), "lm-ready")
     shared = docs.sparkSession.sparkContext.broadcast((known, train(ready, known)))
     fields = list(blocks.schema["rows"].dataType.elementType.fields[:-1])
     if want_text:
@@ -423,10 +460,10 @@ def score(docs: DataFrame, training: Column, want_text: bool = True) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, model = shared.value
         for batch in batches:
-            for rows, sizes, z, rare in zip(batch.column(0), *batch.columns[1:]):
-                block = Block(sizes.as_py(), z.as_py())
-                counts = vocabulary.counts_of(block, rare.as_py())
-                of_word, share = vocabulary.symbols_of(block, counts)
+            for rows, lengths, tokens, counts, of_word, *texts in zip(*batch.columns):
+                block = Block(np.array(lengths.as_py(), np.int64), _numbers(tokens, np.int32), [])
+                counts, of_word = _numbers(counts, np.int64), _numbers(of_word, np.int16)
+                share = vocabulary.shares(of_word, counts)
                 symbols = _token_symbols(block, of_word)
                 logs = model.log_probabilities(symbols, contexts_of(symbols, block.start, block.lengths))
                 logs += np.append(share, 0.0)[block.flat]
@@ -437,12 +474,14 @@ def score(docs: DataFrame, training: Column, want_text: bool = True) -> DataFram
                     return np.add.reduceat(x, block.start)
                 columns = [*rows.values.flatten()[:-1]]
                 if want_text:
-                    columns.append(pa.array([None if t is None else t.decode() for t in block.texts], pa.string()))
+                    sizes, raw = texts[0].as_py(), _loose(texts[1])
+                    columns.append(pa.array([None if t is None else t.decode() for t in _texts(sizes, raw)], pa.string()))
                 columns += [pa.array(block.lengths), pa.array(sums((seen > 0).astype(np.int64))),
                             pa.array(np.full(len(block.lengths), vocabulary.n, np.int64)), pa.array(sums(base)),
                             pa.array(sums(logs) / np.log(10))]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    found = ready.select("rows", "sizes", "z", "rare").mapInArrow(run, schema)
+    texts = ["sizes", "z"] if want_text else []
+    found = ready.select("rows", "lengths", "tokens", "counts", "symbols", *texts).mapInArrow(run, schema)
     order = [c for c in docs.columns if c not in ADDED and (want_text or c != "text")]
     return found.select(*[F.col(f"`{c}`") for c in order], *ADDED)

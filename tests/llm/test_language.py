@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from paceline.llm import collocations, logbilinear
@@ -86,6 +87,18 @@ def test_probabilities_add_up_to_one(spark):
         assert np.exp(logs).sum() + spare == pytest.approx(1, abs=1e-4)
 
 
+def test_blocks_hold_texts_cut_up(spark):
+    """Later passes read numbers, not texts."""
+    df = spark.createDataFrame([(1, "en", "A b a"), (2, "en", None), (3, "en", "c\u00a0c b")], DOCS).coalesce(1)
+    blocks = logbilinear._blocks(df, F.col("doc_id") < 3)
+    assert not {"sizes", "z"} & set(blocks.columns)
+    for r in blocks.toArrow().to_batches()[0].to_pylist():
+        words = zstandard.ZstdDecompressor().decompress(r["words"]).split()
+        tokens, seen = (np.frombuffer(zstandard.ZstdDecompressor().decompress(r[c]), k) for c, k in (("tokens", np.int32), ("seen", np.int64)))
+        assert [words[i] if i >= 0 else None for i in tokens] == [b"a", b"b", b"a", None, None, "c\u00a0c".encode(), b"b", None]
+        assert r["lengths"] == [4, 1, 3] and dict(zip(words, seen.tolist())) == {b"a": 2, b"b": 1, "c\u00a0c".encode(): 0}
+
+
 def test_scores_of_odd_rows(spark, odd_docs, no_docs):
     clash = odd_docs.selectExpr("*", "'x' AS score_", "1 AS n_tokens")
     found = logbilinear.score(clash, F.col("doc_id") < 5)
