@@ -19,8 +19,9 @@ documents leaves each task as one row.  Each level answers with the numbers of
 a document's windows, which come back by document id; the texts travel
 compressed and are cut up in the task that holds them.
 
-Hashes: a word's is XXH3 of its bytes, a window's is mixed from those of two
-shorter ones, so no pattern of letters or words cancels out.  At the shorter
+Hashes: a word's is mixed from its bytes, eight at a time (XXH3 of words over
+``SHORT`` bytes), a window's from those of two shorter ones, so no pattern of
+letters or words cancels out.  At the shorter
 lengths equal hashes of different windows only let a candidate through; whole
 windows are told apart by two hashes of 64 bits with different seeds.
 
@@ -33,9 +34,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -46,8 +49,12 @@ from paceline.llm.common import spool
 
 WINDOW = 20
 BASE = 10
+SHORT = 32                   # bytes of the words that are hashed together
+TOGETHER = 128               # texts whose windows are hashed and sorted together
 _LAST = (1 << 63) - 1
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)      # masks of so many bytes
+_SEEDS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 _SPACE = np.zeros(256, np.int8)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = 1
 
@@ -65,6 +72,8 @@ def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _WordHashes(dict):
+    """XXH3 of words."""
+
     def __init__(self, seed: int):
         self.seed = seed
 
@@ -78,6 +87,19 @@ class _WordHashes(dict):
 _HASHES = [_WordHashes(0), _WordHashes(1)]
 
 
+def _eights(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(which words, their next eight bytes as a number) until all words of at
+    most ``SHORT`` bytes are read; ``raw``: whole numbers, two more than the words need."""
+    on = np.flatnonzero(size <= SHORT)
+    at, left = start[on], size[on]
+    while len(on):
+        slot, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+        eight = raw[slot] >> shift | raw[slot + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        yield on, eight & _FIRST[np.minimum(left, 8)]
+        more = left > 8
+        on, at, left = on[more], at[more] + 8, left[more] - 8
+
+
 def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of every k consecutive words (none if there are fewer): two
     windows of half the length, then two that overlap for what is left."""
@@ -99,100 +121,145 @@ def levels(window: int) -> list[int]:
 
 
 class Windows:
-    """The windows of one text.  ``alone``: for each level so far, the numbers
-    of the chosen shorter windows that no other place of the corpus has."""
-
-    def __init__(self, text: str | None, window: int):
-        self.raw, self.window = (text or "").encode(), window
-        self.words = self.raw.split()
-        self.n = len(self.words)
+    """The windows of some texts, one after the other; ``of``: the text of each
+    word.  Places are counted over all texts.  ``alone``: for each level so far,
+    (how many of each text, numbers) of the chosen shorter windows that no other
+    place of the corpus has."""
+
+    def __init__(self, texts: list[bytes | None], window: int):
+        self.raw, self.window = texts, window
+        self.all = b" ".join([t or b"" for t in texts])
+        self.start, stop = word_spans(self.all)
+        self.size = stop - self.start
+        self.end = np.searchsorted(self.start, np.cumsum([len(t or b"") + 1 for t in texts]))
+        self.n = np.diff(self.end, prepend=0)
+        self.of = np.repeat(np.arange(len(texts)), self.n)
+        numbers = np.frombuffer(self.all + bytes(24 - len(self.all) % 8), "<u8")
+        self.eights = list(_eights(numbers, self.start, self.size))
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        of = _HASHES[which]
-        return np.fromiter((of[w] for w in self.words), np.uint64, self.n)
+        """Of each word: eight bytes at a time are mixed in, after its size; XXH3 of long words."""
+        h = _mix(self.size.astype(np.uint64) + _SEEDS[which])
+        for on, eight in self.eights:
+            h[on] = _mix((h[on] ^ eight) * _MIX1 + _SEEDS[which])
+        for i in np.flatnonzero(self.size > SHORT).tolist():
+            h[i] = _HASHES[which][self.all[self.start[i]:self.start[i] + self.size[i]]]
+        return h
 
-    def anchors(self, at: np.ndarray, words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the windows ``at``: distinct hashes of the chosen windows of
-        ``length`` words, how often each was chosen, and every window's one."""
+    def first(self, of: np.ndarray) -> np.ndarray:
+        """Where each text begins in the ascending ``of``."""
+        return np.searchsorted(of, np.arange(len(self.raw)))
+
+    def chosen_of(self, lists: tuple[np.ndarray, np.ndarray], of: np.ndarray) -> np.ndarray:
+        """Which of the distinct hashes (those of text ``of``) a column of lists names."""
+        sizes, numbers = lists
+        named = np.zeros(len(of), bool)
+        named[numbers + np.repeat(self.first(of), sizes)] = True
+        return named
+
+    def anchors(self, at: np.ndarray, words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the windows ``at``: each text's distinct hashes of the chosen
+        windows of ``length`` words, the texts, how often each was chosen, and
+        every window's one."""
         if not len(at):
             none = np.array([], np.int64)
-            return none.astype(np.uint64), none, none
+            return none.astype(np.uint64), none, none, none
         g = window_hashes(words, length)
-        inside = np.lib.stride_tricks.sliding_window_view(g, self.window - length + 1)
-        place = (inside if len(at) == len(inside) else inside[at]).argmin(axis=1) + at
-        chosen, of_window = np.unique(place, return_inverse=True)
-        hashes, number, count = np.unique(g[chosen], return_inverse=True, return_counts=True)
-        return hashes, count, number[of_window]
-
-    def candidates(self, alone: list[np.ndarray], words: np.ndarray) -> np.ndarray:
-        """Positions of the windows that no level so far has ruled out."""
-        at = np.arange(max(0, self.n - self.window + 1))
+        place = _leftmost_least(g, self.window - length + 1)[at]
+        new = np.append(True, place[1:] != place[:-1])              # places ascend
+        chosen, of_window = place[new], np.cumsum(new) - 1
+        of, h = self.of[chosen], g[chosen]
+        order, new = _sorted(of, h)
+        number = np.empty(len(chosen), np.int64)
+        number[order] = np.cumsum(new) - 1
+        return h[order[new]], of[order[new]], np.bincount(number), number[of_window]
+
+    def candidates(self, alone: list[tuple], words: np.ndarray) -> np.ndarray:
+        """Places of the windows that no level so far has ruled out."""
+        at = np.flatnonzero(np.arange(len(self.of)) + self.window <= self.end[self.of])
         for length, unique in zip(levels(self.window), alone):
-            hashes, count, of_window = self.anchors(at, words, length)
-            once = np.zeros(len(hashes), bool)
-            once[unique] = True
-            once &= count == 1
+            hashes, of, count, of_window = self.anchors(at, words, length)
+            once = self.chosen_of(unique, of) & (count == 1)
             at = at[~once[of_window]]
         return at
 
-    def chosen(self, alone: list[np.ndarray]) -> np.ndarray:
-        """Hashes that the next level asks about."""
-        if self.n < self.window:
-            return np.array([], np.uint64)
+    def chosen(self, alone: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, text of each) that the next level asks about."""
         words = self.hashes()
-        return self.anchors(self.candidates(alone, words), words, levels(self.window)[len(alone)])[0]
+        return self.anchors(self.candidates(alone, words), words, levels(self.window)[len(alone)])[:2]
 
-    def whole(self, alone: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The candidates, their distinct double hashes, first place of each, number of each."""
-        none = np.array([], np.int64)
-        if self.n < self.window:
-            return none, np.zeros((0, 2), np.uint64), none, none
+    def whole(self, alone: list[tuple]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """The candidates, each text's distinct double hashes, the texts, first place of each, number of each."""
         words = self.hashes()
         at = self.candidates(alone, words)
         if not len(at):
-            return at, np.zeros((0, 2), np.uint64), none, none
-        pair = np.stack([window_hashes(h, self.window)[at] for h in (words, self.hashes(1))], axis=1)
-        order = np.lexsort((pair[:, 1], pair[:, 0]))              # stable: places ascend within equal pairs
-        new = np.append(True, (np.diff(pair[order], axis=0) != 0).any(axis=1))
+            none = np.array([], np.int64)
+            return at, [none.astype(np.uint64)] * 2, none, none, none
+        of = self.of[at]
+        pair = [window_hashes(h, self.window)[at] for h in (words, self.hashes(1))]
+        order, new = _sorted(of, *pair)                           # stable: places ascend within equal pairs
         number = np.empty(len(at), np.int64)
         number[order] = np.cumsum(new) - 1
-        return at, pair[order[new]], at[order[new]], number
-
-    def covered(self, alone: list[np.ndarray], firsts: np.ndarray) -> np.ndarray:
-        """Which words go; ``firsts``: numbers of the candidate hashes whose
-        first place is in this document."""
-        edge = np.zeros(self.n + 1, np.int64)
-        at, hashes, first, number = self.whole(alone)
+        lead = order[new]
+        return at, [h[lead] for h in pair], of[lead], at[lead], number
+
+    def covered(self, alone: list[tuple], firsts: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+        """Which words of each text go; ``firsts``: numbers of the candidate
+        hashes whose first place is in the text."""
+        edge = np.zeros(len(self.of) + 1, np.int64)
+        at, _, of, first, number = self.whole(alone)
         if len(at):
-            ours = np.zeros(len(hashes), bool)
-            ours[firsts] = True
+            ours = self.chosen_of(firsts, of)
             gone = at[~(ours[number] & (at == first[number]))]
-            np.add.at(edge, gone, 1)
-            np.add.at(edge, gone + self.window, -1)
-        return np.cumsum(edge)[:self.n] > 0
+            edge[gone] += 1                                       # every place once
+            edge[gone + self.window] -= 1
+        return np.split(np.cumsum(edge)[:-1] > 0, self.end[:-1])
 
-    def kept_text(self, gone: np.ndarray) -> str:
-        """The text without the words of ``gone`` and the space after them."""
+    def kept_text(self, i: int, gone: np.ndarray) -> str:
+        """Text ``i`` without the words of ``gone`` and the space after them."""
+        raw = self.raw[i]
         if not gone.any():
-            return self.raw.decode()
-        start, _ = word_spans(self.raw)
-        upto = np.append(start[1:], len(self.raw))
+            return raw.decode()
+        start, _ = word_spans(raw)
+        upto = np.append(start[1:], len(raw))
         edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
         parts, at = [], 0
         for a, b in zip(edge[::2], edge[1::2]):
-            parts.append(self.raw[at:start[a]])
+            parts.append(raw[at:start[a]])
             at = upto[b - 1]
-        parts.append(self.raw[at:])
+        parts.append(raw[at:])
         return b"".join(parts).decode()
 
-    def kept_digest(self, gone: np.ndarray) -> str:
+    def kept_digest(self, i: int, gone: np.ndarray) -> str:
         """SHA-256 of the kept words joined by one space."""
-        words = self.words
+        words = (self.raw[i] or b"").split()
         if gone.any():
-            words = [words[i] for i in np.flatnonzero(~gone)]
+            words = list(compress(words, ~gone))
         return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+def _sorted(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by the keys, which rows in that order differ from the one before); stable."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        k = key[order]
+        new[1:] |= k[1:] != k[:-1]
+    return order, new
+
+
+def _leftmost_least(g: np.ndarray, k: int) -> np.ndarray:
+    """Place of the least of every k consecutive numbers, the leftmost of equal ones."""
+    place, width = np.arange(len(g)), 1
+    while width < k and len(place):
+        step = min(width, k - width)
+        left, right = place[:-step] if step < len(place) else place[:0], place[step:]
+        place = np.where(g[left] <= g[right], left, right)
+        width += step
+    return place
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` as (row, doc, text): ``row`` holds the other columns, ``doc``
     is a different long for every row, in the order of the documents."""
@@ -228,45 +295,33 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, want_text: bool = True
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _squeezed(b.column(2))], ["row", "doc", "z"])
 
-    def texts(batch: pa.RecordBatch, column: int) -> Iterator[Windows]:
+    def texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, Windows]]:
+        """Some rows at a time, and the windows of their texts."""
         unpack = zstandard.ZstdDecompressor()
-        for z in batch.column(column):
-            yield Windows(None if (v := z.as_py()) is None else unpack.decompress(v).decode(), window)
+        for batch in batches:
+            for part in _parts(batch):
+                yield part, Windows([None if z is None else unpack.decompress(z) for z in part.column(column).to_pylist()], window)
 
     def ask(level: int):
         """Rows (hash, document, number) of a level's chosen windows."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                lists = [_int_lists(c) for c in batch.columns[2:]]
-                rows = []
-                for d, w in zip(batch.column(0).to_numpy(), texts(batch, 1)):
-                    rows.append((d, w.chosen([next(x) for x in lists])))
-                    if len(rows) == 256:
-                        yield _hash_rows(rows)
-                        rows = []
-                yield _hash_rows(rows)
+            for batch, w in texts(batches, 1):
+                h, of = w.chosen([_int_lists(c) for c in batch.columns[2:]])
+                yield _hash_rows(batch.column(0), w, of, h=h)
         return run
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [_int_lists(c) for c in batch.columns[2:]]
-            rows = []
-            for d, w in zip(batch.column(0).to_numpy(), texts(batch, 1)):
-                hashes = w.whole([next(x) for x in lists])[1]
-                if len(hashes):
-                    rows.append((d, hashes[:, 0], hashes[:, 1]))
-                if sum(len(r[1]) for r in rows) > 200_000:
-                    yield _hash_rows(rows, ("h", "i"))
-                    rows = []
-            yield _hash_rows(rows, ("h", "i"))
+        for batch, w in texts(batches, 1):
+            _, (h, i), of, _, _ = w.whole([_int_lists(c) for c in batch.columns[2:]])
+            yield _hash_rows(batch.column(0), w, of, h=h, i=i)
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The first level reads the texts as they are."""
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for at in range(0, batch.num_rows, 256):
-                yield _hash_rows([(d, Windows(t.as_py(), window).chosen([]))
-                                  for d, t in zip(ids[at:at + 256], batch.column(1).slice(at, 256))])
+            for part in _parts(batch):
+                w = Windows([None if t is None else t.encode() for t in part.column(1).to_pylist()], window)
+                h, of = w.chosen([])
+                yield _hash_rows(part.column(0), w, of, h=h)
 
     small = keyed.mapInArrow(lambda batches: (
         pa.RecordBatch.from_arrays([b.column(0), _squeezed(b.column(1))], ["doc", "z"]) for b in batches),
@@ -292,19 +347,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, want_text: bool = True
     names = [f.name for f in out_fields]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text, n_words, n_removed, digest = [], [], [], []
-            lists = zip(*[_int_lists(c) for c in batch.columns[2:]])
-            for z, w, (f, *alone) in zip(batch.column(1), texts(batch, 1), lists):
-                gone = w.covered(alone, f)
-                if want_text:
-                    text.append(w.kept_text(gone) if z.is_valid else None)
-                n_words.append(w.n)
-                n_removed.append(int(gone.sum()))
-                digest.append(w.kept_digest(gone))
-            cols = [*batch.column(0).flatten(), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                    pa.array(digest, pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), *cols] if want_text else cols, names)
+        for batch, w in texts(batches, 1):
+            firsts, *alone = [_int_lists(c) for c in batch.columns[2:]]
+            gone = w.covered(alone, firsts)
+            cols = [*batch.column(0).flatten(), pa.array(w.n), pa.array([int(g.sum()) for g in gone], pa.int64()),
+                    pa.array([w.kept_digest(i, g) for i, g in enumerate(gone)], pa.string())]
+            if want_text:
+                cols.insert(0, pa.array([None if w.raw[i] is None else w.kept_text(i, g) for i, g in enumerate(gone)], pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names)
 
     marked = _joined(packed.mapInArrow(squeeze, z_schema).join(firsts, "doc", "left"), answers).drop("doc")
     result = marked.mapInArrow(finish, T.StructType(out_fields))
@@ -324,17 +374,18 @@ def _squeezed(column: pa.Array) -> pa.Array:
     return pa.array([None if (v := t.as_py()) is None else pack.compress(v.encode()) for t in column], pa.binary())
 
 
-def _int_lists(column: pa.Array) -> Iterator[np.ndarray]:
-    for x in column:
-        yield x.values.to_numpy() if x.is_valid else np.array([], np.int64)
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, TOGETHER):
+        yield batch.slice(at, TOGETHER)
+
+
+def _int_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(size of each list, all numbers); null: none."""
+    return pc.fill_null(pc.list_value_length(column), 0).to_numpy(), column.flatten().to_numpy()
 
 
-def _hash_rows(rows: list[tuple], names: tuple[str, ...] = ("h",)) -> pa.RecordBatch:
-    """(hashes, doc, number) of every hash of every document; ``rows``: (doc, hashes of each name)."""
-    sizes = [len(r[1]) for r in rows]
-    none = np.array([], np.uint64)
-    hashes = [np.concatenate([r[1 + j] for r in rows]) if rows else none for j in range(len(names))]
-    docs = np.repeat(np.array([r[0] for r in rows], np.int64), sizes)
-    number = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]) if rows else np.array([], np.int32)
-    return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(h).view(np.int64)) for h in hashes), pa.array(docs),
-                                       pa.array(number)], [*names, "doc", "number"])
+def _hash_rows(docs: pa.Array, w: Windows, of: np.ndarray, **hashes: np.ndarray) -> pa.RecordBatch:
+    """(hashes, doc, number) of every hash of every document; ``of``: the text of each."""
+    number = np.arange(len(of)) - w.first(of)[of]
+    return pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes.values()), docs.take(pa.array(of)),
+                                       pa.array(number.astype(np.int32))], [*hashes, "doc", "number"])

@@ -59,6 +59,18 @@ def test_windows_are_told_apart_whatever_their_letters(spark):
     assert substring.window_hashes(h[0], 1024) != substring.window_hashes(h[1], 1024)
 
 
+def test_words_hash_alike_wherever_they_stand():
+    words = ["".join("ab"[i * n % 7 % 2] for i in range(n)) + tail for n in range(0, 45) for tail in ("", "a", "b", "\0", "é")][1:]
+    texts = [None, "", *(" " * i + " ".join(words[i:] + words[:i]) for i in range(9)), " \n"]
+    w = substring.Windows([None if t is None else t.encode() for t in texts], 20)
+    assert w.n.tolist() == [0, 0, *[len(words)] * 9, 0]
+    for which in (0, 1):
+        h = w.hashes(which).reshape(9, -1)
+        assert all((np.roll(h[i], i) == h[0]).all() for i in range(9))
+        assert len(set(h[0].tolist())) == len(set(words))
+    assert not set(w.hashes(0).tolist()) & set(w.hashes(1).tolist())
+
+
 def test_substring_dedup_stops_when_no_candidate_is_left(spark):
     rows = [(i, " ".join(f"w{i}-{j}" for j in range(200))) for i in range(5)]
     found = substring.remove_repeats(spark.createDataFrame(rows, TEXTS), 80).collect()
