@@ -46,6 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paceline.llm.common import spool
+from paceline.llm.substring import Words
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -62,15 +63,15 @@ _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words of a text, with BREAK between its pieces and at its end."""
+def tokens(text: str) -> bytes:
+    """Words of a text, with BREAK between its pieces and at its end, in spaces."""
     raw = text.encode().lower().translate(_CUT)      # bytes.lower: A-Z only
-    return [*raw.replace(BREAK, b" \xff ").split(), BREAK]
+    return raw.replace(BREAK, b" \xff ") + b" \xff"
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     """(language, tokens) of a few megabytes of texts at a time."""
-    def grouped(rows: list[tuple[str, str]]) -> Iterator[tuple[str, list[bytes]]]:
+    def grouped(rows: list[tuple[str, str]]) -> Iterator[tuple[str, bytes]]:
         by_lang: dict[str, list[str]] = {}
         for lang, text in rows:
             by_lang.setdefault(lang, []).append(text)
@@ -97,17 +98,11 @@ def step(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class _WordHashes(dict):
-    """Hash of a word; 0 is the break between pieces."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = h = 0 if word == BREAK else xxhash.xxh3_64_intdigest(word) or 1
-        return h
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: Words) -> np.ndarray:
+    """Hash of each word; 0 is the break between pieces."""
+    h = np.maximum(words.hashes(), np.uint64(1))
+    h[np.frombuffer(words.raw, np.uint8)[words.start] == BREAK[0]] = 0       # no byte of UTF-8
+    return h
 
 
 def _seed(lang: str) -> np.uint64:
@@ -178,18 +173,17 @@ def count_words(texts: DataFrame) -> DataFrame:
     """(lang, word, h, f) of every word, exactly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[pa.RecordBatch]:
-            hashes = _WordHashes()
             for lang, words in counted.items():
                 words.pop(BREAK, None)
                 keys = list(words)
-                h = step(np.full(len(keys), _seed(lang)), hashes.array(keys))
+                h = step(np.full(len(keys), _seed(lang)), word_hashes(Words(b" ".join(keys))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(keys), pa.string()), pa.array([w.decode() for w in keys], pa.string()),
                      pa.array(h.view(np.int64)), pa.array(list(words.values()), pa.int64())], ["lang", "word", "h", "f"])
 
         counted: dict[str, Counter] = {}
-        for lang, words in _batches(batches):
-            counted.setdefault(lang, Counter()).update(words)
+        for lang, raw in _batches(batches):
+            counted.setdefault(lang, Counter()).update(raw.split())
             if sum(map(len, counted.values())) > 300_000:
                 yield from rows()
                 counted = {}
@@ -206,7 +200,7 @@ def count_hashes(texts: DataFrame, maps: list[Bitmap], most: int, min_count: int
     shared = spark.sparkContext.broadcast(maps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = _WordHashes(), shared.value
+        known = shared.value
         held: dict[int, list[np.ndarray]] = {}
 
         def rows() -> Iterator[pa.RecordBatch]:
@@ -217,8 +211,8 @@ def count_hashes(texts: DataFrame, maps: list[Bitmap], most: int, min_count: int
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), pa.array(part.view(np.int64)),
                                                       pa.array(n[i:i + (1 << 18)])], ["k", "h", "n"])
 
-        for lang, words in _batches(batches):
-            for k, _, h in live(hashes.array(words), _seed(lang), known, most):
+        for lang, raw in _batches(batches):
+            for k, _, h in live(word_hashes(Words(raw)), _seed(lang), known, most):
                 if k > len(known) and len(h):
                     held.setdefault(k, []).append(h)
             if sum(len(h) for parts in held.values() for h in parts) > 3_000_000:
@@ -242,7 +236,7 @@ def collect_phrases(texts: DataFrame, maps: list[Bitmap], wanted: list[Bitmap])
     shared = texts.sparkSession.sparkContext.broadcast((maps, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (known, asked) = _WordHashes(), shared.value
+        known, asked = shared.value
         seen: dict[tuple[str, bytes], tuple[int, int]] = {}
 
         def rows() -> pa.RecordBatch:
@@ -251,17 +245,21 @@ def collect_phrases(texts: DataFrame, maps: list[Bitmap], wanted: list[Bitmap])
                  pa.array([k for k, _ in seen.values()], pa.int32()),
                  pa.array(np.array([h for _, h in seen.values()], np.uint64).view(np.int64))], ["lang", "phrase", "k", "h"])
 
-        for lang, words in _batches(batches):
-            ids = None
-            for k, at, h in live(hashes.array(words), _seed(lang), known, len(known)):
+        for lang, raw in _batches(batches):
+            words, number = Words(raw), _Numbers()
+            ids = np.full(len(words.start), -1, np.int64)
+            for k, at, h in live(word_hashes(words), _seed(lang), known, len(known)):
                 passed = asked[k - 1].has(h) if k > 1 else np.zeros(len(h), bool)
                 if passed.any():
-                    if ids is None:
-                        ids = np.fromiter(map(_Numbers().__getitem__, words), np.int64, len(words))
                     at, h = at[passed], h[passed]
+                    asks = np.zeros(len(ids), bool)          # the words of the phrases are numbered
+                    for j in range(k):
+                        asks[at + j] = True
+                    new = np.flatnonzero(asks & (ids < 0))
+                    ids[new] = [number[words[i]] for i in new.tolist()]
                     pick = _one_each(ids, at, h, k)
                     for i, x in zip(at[pick].tolist(), h[pick].tolist()):
-                        seen[lang, b" ".join(words[i:i + k])] = k, x
+                        seen[lang, b" ".join([words[j] for j in range(i, i + k)])] = k, x
             if len(seen) > 200_000:
                 yield rows()
                 seen.clear()
@@ -405,8 +403,8 @@ def _count(texts: DataFrame, trie: DoubleArray, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine, counts = shared.value, np.zeros(size, np.int64)
-        for lang, words in _batches(batches):
-            for numbers in mine.accepted(lang, mine.codes(words)):
+        for lang, raw in _batches(batches):
+            for numbers in mine.accepted(lang, mine.codes(raw.split())):
                 counts += np.bincount(numbers, minlength=size)
         hit = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(counts[hit])], ["number", "n"])

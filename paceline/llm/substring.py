@@ -120,6 +120,28 @@ def levels(window: int) -> list[int]:
     return lengths
 
 
+class Words:
+    """The words of a text: where they start and how many bytes they have."""
+
+    def __init__(self, raw: bytes):
+        self.raw = raw
+        self.start, stop = word_spans(raw)
+        self.size = stop - self.start
+        self.eights = list(_eights(np.frombuffer(raw + bytes(24 - len(raw) % 8), "<u8"), self.start, self.size))
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.raw[self.start[i]:self.start[i] + self.size[i]]
+
+    def hashes(self, which: int = 0) -> np.ndarray:
+        """Of each word: eight bytes at a time are mixed in, after its size; XXH3 of long words."""
+        h = _mix(self.size.astype(np.uint64) + _SEEDS[which])
+        for on, eight in self.eights:
+            h[on] = _mix((h[on] ^ eight) * _MIX1 + _SEEDS[which])
+        for i in np.flatnonzero(self.size > SHORT).tolist():
+            h[i] = _HASHES[which][self[i]]
+        return h
+
+
 class Windows:
     """The windows of some texts, one after the other; ``of``: the text of each
     word.  Places are counted over all texts.  ``alone``: for each level so far,
@@ -128,23 +150,13 @@ class Windows:
 
     def __init__(self, texts: list[bytes | None], window: int):
         self.raw, self.window = texts, window
-        self.all = b" ".join([t or b"" for t in texts])
-        self.start, stop = word_spans(self.all)
-        self.size = stop - self.start
-        self.end = np.searchsorted(self.start, np.cumsum([len(t or b"") + 1 for t in texts]))
+        self.words = Words(b" ".join([t or b"" for t in texts]))
+        self.end = np.searchsorted(self.words.start, np.cumsum([len(t or b"") + 1 for t in texts]))
         self.n = np.diff(self.end, prepend=0)
         self.of = np.repeat(np.arange(len(texts)), self.n)
-        numbers = np.frombuffer(self.all + bytes(24 - len(self.all) % 8), "<u8")
-        self.eights = list(_eights(numbers, self.start, self.size))
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        """Of each word: eight bytes at a time are mixed in, after its size; XXH3 of long words."""
-        h = _mix(self.size.astype(np.uint64) + _SEEDS[which])
-        for on, eight in self.eights:
-            h[on] = _mix((h[on] ^ eight) * _MIX1 + _SEEDS[which])
-        for i in np.flatnonzero(self.size > SHORT).tolist():
-            h[i] = _HASHES[which][self.all[self.start[i]:self.start[i] + self.size[i]]]
-        return h
+        return self.words.hashes(which)
 
     def first(self, of: np.ndarray) -> np.ndarray:
         """Where each text begins in the ascending ``of``."""

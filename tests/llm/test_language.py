@@ -183,10 +183,10 @@ def test_phrases_that_share_a_hash_are_all_collected(spark):
 
 
 def test_a_word_that_names_a_language_shares_no_hash(spark):
-    h = collocations._WordHashes()
     def of(lang, word):
-        return collocations.step(collocations._seed(lang), np.uint64(h[word]))
+        return collocations.step(collocations._seed(lang), collocations.word_hashes(collocations.Words(word)))
     assert of("es", b"en") != of("en", b"es")
+    assert collocations.word_hashes(collocations.Words(collocations.tokens("a. b"))).tolist()[1::2] == [0, 0]
 
 
 def test_bitmaps_let_few_others_through(spark):
