@@ -70,16 +70,22 @@ def cell_of(key: Column, table: int, size: Column) -> Column:
 def fingerprint(keys: Column, size: int = BASE_CELLS) -> Column:
     """The sketch of ``size`` cells a table as text: count, key XOR and check
     XOR of every cell."""
-    def cell(table: int, c: int) -> Column:
-        mine = F.filter(keys, lambda k: cell_of(k, table, F.lit(size)) == c * HASHES + table)
+    names = [f"p{t}" for t in range(HASHES)]
 
-        def show(own: Column) -> Column:
-            def fold(f) -> Column:
-                return F.aggregate(own, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(f(k)))
-            return F.concat(F.lpad(F.hex(F.size(own)), 8, "0"), F.lpad(F.hex(fold(lambda k: k)), 16, "0"),
-                            F.lpad(F.hex(fold(check_of)), 8, "0"))
-        return let(mine, show)
-    return F.lower(F.concat(*[cell(t, c) for t in range(HASHES) for c in range(size)]))
+    def hashed(k: Column) -> Column:
+        # all hashes of a key once, not again for every cell
+        places = [cell_of(k, t, F.lit(size)).alias(p) for t, p in enumerate(names)]
+        return F.struct(k.alias("k"), check_of(k).alias("c"), *places)
+
+    def show(own: Column) -> Column:
+        def fold(name: str) -> Column:
+            return F.aggregate(own, F.lit(0).cast("long"), lambda a, r: a.bitwiseXOR(r[name]))
+        return F.concat(F.lpad(F.hex(F.size(own)), 8, "0"), F.lpad(F.hex(fold("k")), 16, "0"), F.lpad(F.hex(fold("c")), 8, "0"))
+
+    def cell(rows: Column, table: int, c: int) -> Column:
+        return let(F.filter(rows, lambda r: r[names[table]] == c * HASHES + table), show)
+    cells = [(t, c) for t in range(HASHES) for c in range(size)]
+    return F.lower(let(F.transform(keys, hashed), lambda rows: F.concat(*[cell(rows, t, c) for t, c in cells])))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -229,9 +235,8 @@ def compare_neighbours(docs: DataFrame, cells_per_digest: float = CELLS_PER_DIGE
         "range", "rid", "guest", "doc_id", F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("x"),
         digests(F.col("edited")).alias("e")), ranges, "range")
-    own = table.filter(~F.col("guest"))
     following = F.lead("x").over(Window.partitionBy("range").orderBy("rid"))
-    pairs = table.select("range", "rid", "guest", "x", "e", following.alias("y")).filter(~F.col("guest"))
+    pairs = table.withColumn("y", following).filter(~F.col("guest"))
 
     def peeled(pairs: DataFrame, factor: int) -> DataFrame:
         """One row a document: results against the edited and the next text."""
@@ -242,20 +247,23 @@ def compare_neighbours(docs: DataFrame, cells_per_digest: float = CELLS_PER_DIGE
             F.max(F.when(F.col("side") == 0, near)).alias("near_edited"),
             F.max(F.when(F.col("side") == 1, near)).alias("near_next"), F.max("left").alias("left"))
 
-    about = own.select("range", "rid", "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("x")).alias("fingerprint"),
-                       fingerprint(F.col("e")).alias("edited_fingerprint"))
+    # the digests stay beside the results of documents to be sketched anew: retries read these few rows, not the table
+    sets = {c: F.when(F.col("left") > 0, F.col(c)) for c in ("x", "e", "y")}
+    about = pairs.select("range", "rid", "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("x")).alias("fingerprint"),
+                         fingerprint(F.col("e")).alias("edited_fingerprint"), *sets)
     with _joined_in_place(docs.sparkSession):
-        result = spool(about.join(peeled(pairs, 1), ["range", "rid"]), "iblt")
+        result = spool(about.join(peeled(pairs, 1), ["range", "rid"]).withColumns(sets), "iblt")
         done, open_ = result.filter("left = 0"), result.filter("left > 0")
         for attempt in range(1, attempts + 1):
             if open_.isEmpty():
                 break
-            few = open_.select("range", "rid")
-            again = peeled(pairs.join(few, ["range", "rid"], "left_semi"), 2 ** attempt)
-            next_ = spool(open_.drop("near_edited", "near_next", "left").join(again, ["range", "rid"]).select(*result.columns),
-                          "iblt")
+            # dealt by document once, for the join and all grouping
+            few = open_.repartition("range", "rid")
+            again = peeled(few.select("range", "rid", *sets), 2 ** attempt)
+            next_ = spool(few.drop("near_edited", "near_next", "left").join(again, ["range", "rid"]).withColumns(sets)
+                          .select(*result.columns), "iblt")
             done, open_ = done.unionByName(next_.filter("left = 0")), next_.filter("left > 0")
         else:
             if not open_.isEmpty():
                 raise RuntimeError("sketches that cannot be peeled")
-    return done.drop("range", "rid", "left")
+    return done.drop("range", "rid", "left", *sets)

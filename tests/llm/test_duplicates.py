@@ -258,6 +258,27 @@ def test_fingerprints_are_sketches_that_subtract(spark):
     assert left == [(1, keys[-1] % 2**64)] * iblt.HASHES
 
 
+def test_retries_read_only_what_is_left_open(spark, monkeypatch):
+    monkeypatch.setattr(iblt, "LEAST_CELLS", 2)
+    rows = [(i, " ".join(f"part {(i * 7 + j) % 90}." for j in range(12))) for i in range(60)]
+    read, differences = [], iblt.differences
+
+    def seen(pairs, *args):
+        read.append(set(pairs.inputFiles()))
+        return differences(pairs, *args)
+    monkeypatch.setattr(iblt, "differences", seen)
+    found = {r.doc_id: r for r in iblt.compare_neighbours(spark.createDataFrame(rows, TEXTS), 0.2).collect()}
+    assert len(read) > 1 and read[0] and not any(read[0] & later for later in read[1:])
+    assert all(found[i].near_next == pytest.approx(jaccard(t, rows[i - 1][1])) for i, t in rows)
+
+
+def test_fingerprints_hash_a_digest_once(spark):
+    def hashes(size):
+        df = spark.createDataFrame([([1, 2],)], "a array<long>").select(iblt.fingerprint(F.col("a"), size))
+        return df._jdf.queryExecution().optimizedPlan().toString().count("xxhash64(")
+    assert hashes(2) == hashes(6) > 0       # not again for every cell
+
+
 def test_ranges_cut_within_an_id(spark, monkeypatch):
     monkeypatch.setattr(iblt, "RANGE_BYTES", 500)
     rows = [(None if i % 2 else 7, f"text {i}. and more {i % 5}.") for i in range(200)]
