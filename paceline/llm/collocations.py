@@ -1,4 +1,4 @@
-"""Operator 13: collocations, counted by broadcast double-array tries.
+"""Operator 13: collocations, counted by double-array tries.
 
 Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line ends, and
 pieces into words at spaces and tabs.  A phrase of two to ``max_words`` words
@@ -8,20 +8,23 @@ that occurs ``min_count`` times inside pieces is a candidate; its score is
 1. Words are counted exactly, pre-aggregated in each task.
 2. Apriori-safe candidates.  Every phrase has a 64-bit hash; hashes are counted
    for pairs whose two words are frequent, then for longer phrases whose pairs
-   all are.  Phrases that share a hash only add up, so a sum below
-   ``min_count`` rules a phrase out for certain.  Hashes that pass are
+   all are.  Each part adds up a range of hashes.  Phrases that share a hash
+   only add up, so a sum below ``min_count`` rules a phrase out for certain.  Hashes that pass are
    broadcast as a bitmap of at most ``2 ** BITMAP_BITS`` bits, three set for
    each hash, whatever their number (a fuller bitmap lets more through, never
-   less).  One more pass
-   collects the phrases that they stand for, in rounds over growing ``PARTS``
-   of the texts: what a round has found, the next ones no longer look for.
-3. Candidates are dealt into tries of ``TRIE_BYTES`` each.  A trie is built as a
-   double array (state and word give the next state by one addition and one
-   comparison), and broadcast.  Numpy advances the states of all text
-   positions of a batch at once, level by level, and counts the accepting
-   states with bincount; Spark adds up the counts of the tasks.  These counts
-   are exact and decide.  Where they add up to less than their hash's count,
-   another phrase has the same hash: it is looked for in all texts.
+   less).
+3. One more pass takes from each place of a text its window: the longest phrase
+   that starts there and whose hash and parts' hashes pass.  Windows that start
+   with the same two words go to one part, equal ones of a task as one with
+   their number.  The candidates are what the windows start with, also where
+   several share a hash, so no phrase that occurs often enough is left out.
+   A part's candidates make a trie; a part with more than ``TRIE_BYTES`` of
+   different windows makes several, one after the other.  A trie is built as a double array
+   (state and word give the next state by one addition and one comparison).
+   Numpy advances the states of all its windows at once, level by level, and
+   counts the accepting states with bincount; Spark adds up the counts of the
+   tries.  These counts are exact and decide.  However many tries there are,
+   each window is walked through one of them and the texts are read once.
 4. Cuts, containment and ranks are joins and grouped aggregates; each
    language's best are first taken in buckets, so no language is sorted in one
    task.
@@ -34,7 +37,7 @@ empty table gives an empty result.  Products are decimals of 38 digits.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -54,10 +57,11 @@ TOP = 2000
 COVER_PERCENT = 80           # a longer candidate this frequent covers a shorter one
 SCALE = 2_000_000
 BITMAP_BITS = 29             # 64 MB at most
-TRIE_BYTES = 16 << 20        # of a trie's phrases, before it is built
+TRIE_BYTES = 16 << 20        # of the windows whose phrases make a trie
 BATCH_BYTES = 4 << 20
+HELD = 300_000               # different words or windows that a task adds up before they go on
 TOP_BUCKETS = 64
-PARTS = (64, 8, 1)           # one text in so many, in the rounds that collect phrases
+PART_HASHES = 2_000_000      # of phrases, as they are dealt to be added up
 BREAK = b"\xff"              # between pieces; not a byte of UTF-8
 _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -147,16 +151,16 @@ def bitmap(hashes: DataFrame, most_bits: int = BITMAP_BITS) -> Bitmap:
 
 
 def live(words: np.ndarray, seed: np.uint64, maps: list[Bitmap], most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(k, positions, hashes) of the phrases of 1 to ``most`` words all whose
-    shorter parts may be frequent; ``maps``: by number of words.  Phrases of
+    """(k, positions, hashes) of the phrases of 1 to ``most`` words that may be
+    frequent, as all their parts; ``maps``: by number of words.  Phrases of
     more words than there are maps are judged by the longest mapped parts."""
     at = np.flatnonzero(words)
     h = step(np.full(len(at), seed), words[at])
     for k in range(1, most + 1):
-        yield k, at, h
         if k <= len(maps):
             good = maps[k - 1].has(h)
             at, h = at[good], h[good]
+        yield k, at, h
         # the phrase one word on must be live too; its last word is the next one
         both = np.flatnonzero(np.diff(at) == 1)
         h, at = step(h[both], words[at[both] + k]), at[both]
@@ -184,7 +188,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         counted: dict[str, Counter] = {}
         for lang, raw in _batches(batches):
             counted.setdefault(lang, Counter()).update(raw.split())
-            if sum(map(len, counted.values())) > 300_000:
+            if sum(map(len, counted.values())) > HELD:
                 yield from rows()
                 counted = {}
         yield from rows()
@@ -193,35 +197,63 @@ def count_words(texts: DataFrame) -> DataFrame:
     return found.groupBy("lang", "word").agg(F.max("h").alias("h"), F.sum("f").alias("f"))
 
 
-def count_hashes(texts: DataFrame, maps: list[Bitmap], most: int, min_count: int) -> DataFrame:
+def count_hashes(texts: DataFrame, maps: list[Bitmap], most: int, min_count: int, parts: int) -> DataFrame:
     """(k, h, n) of the phrase hashes that occur ``min_count`` times, for phrases
-    of more words than ``maps`` covers, up to ``most``."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(maps)
+    of more words than ``maps`` covers, up to ``most``.  Each of the ``parts``
+    has a range of hashes."""
+    shared = texts.sparkSession.sparkContext.broadcast(maps)
+    edges = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         held: dict[int, list[np.ndarray]] = {}
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for k, parts in held.items():
-                h, n = np.unique(np.concatenate(parts), return_counts=True)
-                for i in range(0, len(h), 1 << 18):
-                    part = h[i:i + (1 << 18)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), pa.array(part.view(np.int64)),
-                                                      pa.array(n[i:i + (1 << 18)])], ["k", "h", "n"])
+            for k, found in held.items():
+                h, n = np.unique(np.concatenate(found), return_counts=True)
+                cut = [0, *np.searchsorted(h, edges).tolist(), len(h)]
+                on = [i for i in range(parts) if cut[i] < cut[i + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(on, pa.int32()), pa.array([k] * len(on), pa.int32()),
+                     *(pa.array([x[cut[i]:cut[i + 1]].tobytes() for i in on], pa.binary()) for x in (h, n))], ["part", "k", "h", "n"])
 
         for lang, raw in _batches(batches):
             for k, _, h in live(word_hashes(Words(raw)), _seed(lang), known, most):
                 if k > len(known) and len(h):
                     held.setdefault(k, []).append(h)
-            if sum(len(h) for parts in held.values() for h in parts) > 3_000_000:
+            if sum(len(h) for found in held.values() for h in found) > 3_000_000:
                 yield from rows()
                 held.clear()
         yield from rows()
 
-    found = texts.mapInArrow(run, "k int, h long, n long")
-    return found.groupBy("k", "h").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
+        fresh = 0
+        for batch in batches:
+            for k, h, n in zip(*(batch.column(c).to_pylist() for c in ("k", "h", "n"))):
+                found = held.setdefault(k, ([], []))
+                found[0].append(np.frombuffer(h, np.uint64))
+                found[1].append(np.frombuffer(n, np.int64))
+                fresh += len(n) // 8
+            if fresh > 2 * PART_HASHES:                  # a part of many equal hashes keeps each once
+                held, fresh = {k: ([h], [n]) for k, (h, n) in ((k, _summed(*x)) for k, x in held.items())}, 0
+        for k, found in held.items():
+            h, n = _summed(*found)
+            h, n = h[n >= min_count], n[n >= min_count]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array(n)],
+                                             ["k", "h", "n"])
+
+    dealt = texts.mapInArrow(run, "part int, k int, h binary, n binary").repartitionById(parts, "part")
+    return dealt.mapInArrow(add, "k int, h long, n long")
+
+
+def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each different hash and the sum of its counts."""
+    h, n = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(h, kind="stable")                 # of runs in order: merged
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    return h[first], np.add.reduceat(n, first)
 
 
 class _Numbers(dict):
@@ -230,42 +262,76 @@ class _Numbers(dict):
         return n
 
 
-def collect_phrases(texts: DataFrame, maps: list[Bitmap], wanted: list[Bitmap]) -> DataFrame:
-    """(lang, phrase, k, h) of two or more words whose parts pass ``maps`` and
-    whose own hash is in ``wanted`` (both by number of words)."""
-    shared = texts.sparkSession.sparkContext.broadcast((maps, wanted))
+def windows(words: Words, h: np.ndarray, seed: np.uint64, maps: list[Bitmap]) -> list[bytes]:
+    """From each place the longest phrase of two or more words that passes
+    ``maps`` (by number of words), its words joined by single spaces."""
+    sizes = np.zeros(len(h), np.int64)
+    for k, at, _ in live(h, seed, maps, len(maps)):
+        sizes[at] = k
+    at = np.flatnonzero(sizes > 1)
+    if not len(at):
+        return []
+    last = at + sizes[at] - 1
+    length = words.start[last] + words.size[last] + 1 - words.start[at]     # and the byte behind it, for the break
+    end = np.cumsum(length)
+    place = np.repeat(words.start[at] - (end - length), length) + np.arange(end[-1])
+    raw = np.frombuffer(words.raw, np.uint8)[place]
+    raw[end - 1] = BREAK[0]
+    joined = raw[:-1].tobytes().replace(b"\t", b" ")
+    while b"  " in joined:
+        joined = joined.replace(b"  ", b" ")
+    return joined.split(BREAK)
+
+
+def deal_windows(texts: DataFrame, maps: list[Bitmap], parts: int) -> DataFrame:
+    """(part, lang, windows, n): windows, with BREAK between them, and how often
+    each of them was found; those that start with the same two words are in one part."""
+    shared = texts.sparkSession.sparkContext.broadcast(maps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, asked = shared.value
-        seen: dict[tuple[str, bytes], tuple[int, int]] = {}
-
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in seen], pa.string()), pa.array([p.decode() for _, p in seen], pa.string()),
-                 pa.array([k for k, _ in seen.values()], pa.int32()),
-                 pa.array(np.array([h for _, h in seen.values()], np.uint64).view(np.int64))], ["lang", "phrase", "k", "h"])
+            dealt: list[tuple[int, str, bytes, bytes]] = []
+            for lang, found in counted.items():
+                if not found:
+                    continue
+                h = word_hashes(Words(b" \xff ".join(found)))
+                first = np.flatnonzero(np.append(True, h[:-1] == 0))
+                part = step(step(np.full(len(first), _seed(lang)), h[first]), h[first + 1]) % np.uint64(parts)
+                order = np.argsort(part, kind="stable")
+                keys, n = np.array(list(found), object)[order], np.array(list(found.values()), np.int64)[order]
+                cut = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)).tolist()
+                for a, b in zip(cut, [*cut[1:], len(order)]):
+                    dealt.append((int(part[order[a]]), lang, BREAK.join(keys[a:b].tolist()), n[a:b].tobytes()))
+            kinds = pa.int32(), pa.string(), pa.binary(), pa.binary()
+            return pa.RecordBatch.from_arrays([pa.array([row[i] for row in dealt], kind) for i, kind in enumerate(kinds)],
+                                              ["part", "lang", "windows", "n"])
 
+        known = shared.value
+        counted: dict[str, Counter] = {}
         for lang, raw in _batches(batches):
-            words, number = Words(raw), _Numbers()
-            ids = np.full(len(words.start), -1, np.int64)
-            for k, at, h in live(word_hashes(words), _seed(lang), known, len(known)):
-                passed = asked[k - 1].has(h) if k > 1 else np.zeros(len(h), bool)
-                if passed.any():
-                    at, h = at[passed], h[passed]
-                    asks = np.zeros(len(ids), bool)          # the words of the phrases are numbered
-                    for j in range(k):
-                        asks[at + j] = True
-                    new = np.flatnonzero(asks & (ids < 0))
-                    ids[new] = [number[words[i]] for i in new.tolist()]
-                    pick = _one_each(ids, at, h, k)
-                    for i, x in zip(at[pick].tolist(), h[pick].tolist()):
-                        seen[lang, b" ".join([words[j] for j in range(i, i + k)])] = k, x
-            if len(seen) > 200_000:
+            words = Words(raw)
+            counted.setdefault(lang, Counter()).update(windows(words, word_hashes(words), _seed(lang), known))
+            if sum(map(len, counted.values())) > HELD:
                 yield rows()
-                seen.clear()
+                counted = {}
         yield rows()
 
-    return texts.mapInArrow(run, "lang string, phrase string, k int, h long").distinct()
+    return texts.mapInArrow(run, "part int, lang string, windows binary, n binary")
+
+
+def starts(words: list[bytes], at: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Every different phrase of two or more words that a window starts with;
+    ``at``, ``sizes``: each window's first word and number of words."""
+    number = _Numbers()
+    ids = np.fromiter((number[w] for w in words), np.int64, len(words))
+    h = step(np.zeros(len(at), np.uint64), ids[at].astype(np.uint64))
+    found: dict[bytes, None] = {}
+    for k in range(2, int(sizes.max(initial=0)) + 1):
+        on = sizes >= k
+        at, h, sizes = at[on], h[on], sizes[on]
+        h = step(h, ids[at + k - 1].astype(np.uint64))
+        found.update(dict.fromkeys(b" ".join(words[i:i + k]) for i in at[_one_each(ids, at, h, k)].tolist()))
+    return list(found)
 
 
 def _one_each(ids: np.ndarray, at: np.ndarray, h: np.ndarray, k: int) -> np.ndarray:
@@ -361,55 +427,68 @@ class DoubleArray:
         """Code of each word; 0: in no phrase."""
         return np.fromiter(map(self.code.get, words, repeat(0)), np.int64, len(words))
 
-    def accepted(self, lang: str, codes: np.ndarray) -> Iterator[np.ndarray]:
-        """Level by level: the numbers of the phrases that start anywhere."""
+    def walk(self, lang: str, codes: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Level by level: which of the places ``at`` start a phrase, and the phrases' numbers."""
         root = self.base[0] + self.lang.get(lang, -1)
         if lang not in self.lang or self.check[root] != 0:
             return
-        at = np.flatnonzero(codes)
-        state, depth = np.full(len(at), root, np.int64), 0
+        which, state, depth = np.arange(len(at)), np.full(len(at), root, np.int64), 0
         while len(at):
             word = codes[at + depth]
             to = self.base[state] + word
             on = (word > 0) & (self.check[to] == state)
-            at, state = at[on], to[on]
+            which, at, state = which[on], at[on], to[on]
             number = self.number[state]
-            yield number[number >= 0]
+            yield which[number >= 0], number[number >= 0]
             depth += 1
             inside = at + depth < len(codes)
-            at, state = at[inside], state[inside]
-
-
-def count_phrases(texts: DataFrame, phrases: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
-    """(lang, phrase, f): exact counts of the given phrases."""
-    spark = texts.sparkSession
-    weight = F.octet_length("phrase") + F.octet_length("lang") + 32
-    total = phrases.agg(F.sum(weight.cast("long"))).first()[0] or 0
-    tries = max(1, math.ceil(total / trie_bytes))
-    dealt = phrases.withColumn("trie", F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)).cast("int"))
-    found = None
-    for t in range(tries):
-        part = dealt.filter(F.col("trie") == t).select("lang", "phrase").toArrow()     # one trie's phrases
-        trie = DoubleArray(*(part[c].combine_chunks() for c in ("lang", "phrase")))
-        counts = spool(_count(texts, trie, part.num_rows), "collocations-counts")
-        numbered = spark.createDataFrame(part.append_column("number", pa.array(np.arange(part.num_rows, dtype=np.int32))))
-        named = spool(numbered.join(counts, "number").select("lang", "phrase", "f"), "collocations-counted")
-        found = named if found is None else found.unionByName(named)
-    return found
-
-
-def _count(texts: DataFrame, trie: DoubleArray, size: int) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(trie)
+            which, at, state = which[inside], at[inside], state[inside]
 
+    def accepted(self, lang: str, codes: np.ndarray) -> Iterator[np.ndarray]:
+        """Level by level: the numbers of the phrases that start anywhere."""
+        for _, number in self.walk(lang, codes, np.flatnonzero(codes)):
+            yield number
+
+
+def count_starts(held: dict[str, dict[bytes, int]]) -> pa.RecordBatch:
+    """(lang, phrase, f) of all phrases that windows start with; ``held``: how
+    often each window was found, by language."""
+    cut, langs, phrases = {}, [], []
+    for lang, found in held.items():
+        sizes = np.fromiter((w.count(b" ") + 1 for w in found), np.int64, len(found))
+        cut[lang] = b" \xff ".join(found).split(), np.cumsum(sizes + 1) - sizes - 1, sizes
+        phrases += [p.decode() for p in starts(*cut[lang])]
+        langs += [lang] * (len(phrases) - len(langs))
+    named = pa.array(langs, pa.string()), pa.array(phrases, pa.string())
+    trie, counts = DoubleArray(*named), np.zeros(len(phrases), np.int64)
+    for lang, found in held.items():
+        words, at, _ = cut[lang]
+        n = np.fromiter(found.values(), np.float64, len(found))      # whole numbers, below 2 ** 53 in a trie
+        for which, numbers in trie.walk(lang, trie.codes(words), at):
+            counts += np.bincount(numbers, n[which], len(counts)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([*named, pa.array(counts)], ["lang", "phrase", "f"])
+
+
+def count_phrases(dealt: DataFrame, parts: int, trie_bytes: int = TRIE_BYTES) -> DataFrame:
+    """(lang, phrase, f): exact counts of the phrases that the windows start with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, counts = shared.value, np.zeros(size, np.int64)
-        for lang, raw in _batches(batches):
-            for numbers in mine.accepted(lang, mine.codes(raw.split())):
-                counts += np.bincount(numbers, minlength=size)
-        hit = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(counts[hit])], ["number", "n"])
-
-    return texts.mapInArrow(run, "number int, n long").groupBy("number").agg(F.sum("n").alias("f"))
+        held: dict[str, defaultdict[bytes, int]] = {}
+        size = 0
+        for batch in batches:
+            for lang, joined, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "windows", "n"))):
+                found = held.setdefault(lang, defaultdict(int))
+                before, keys = len(found), joined.split(BREAK)
+                for key, times in zip(keys, np.frombuffer(n, np.int64).tolist()):
+                    found[key] += times
+                size += (len(found) - before) * (len(joined) // len(keys) + len(lang.encode()) + 32)
+                if size > trie_bytes:
+                    yield count_starts(held)
+                    held, size = {}, 0
+        if held:
+            yield count_starts(held)
+
+    found = dealt.repartitionById(parts, "part").mapInArrow(run, "lang string, phrase string, f long")
+    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 # ------------------------------------------------------------------ results
@@ -460,38 +539,38 @@ def best(scored: DataFrame, top: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= top)
 
 
-def _bitmaps(hashes: DataFrame, max_words: int, bits: int) -> list[Bitmap]:
-    """Of (k, h), for phrases of 2 to ``max_words`` words."""
-    return [bitmap(hashes.filter(F.col("k") == k), bits) for k in range(2, max_words + 1)]
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def candidates(texts: DataFrame, words: DataFrame, min_count: int, max_words: int,
-               bitmap_bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame, list[Bitmap]]:
-    """(lang, phrase, k, h) of the phrases that may occur ``min_count`` times,
-    one at least for each of the hashes (k, h, n), and the hashes' bitmaps."""
+def frequent(texts: DataFrame, words: DataFrame, min_count: int, max_words: int,
+             bitmap_bits: int = BITMAP_BITS) -> tuple[DataFrame, list[Bitmap]]:
+    """The hashes (k, h, n) that occur ``min_count`` times, and the bitmaps of
+    words' and phrases' hashes by number of words."""
     maps = [bitmap(words.filter(F.col("f") >= min_count).select("h"), bitmap_bits)]
-    hashes = spool(count_hashes(texts, maps, 2, min_count), "collocations-pairs")
+    places = words.agg(F.sum("f")).first()[0] or 0           # where phrases start
+
+    def parts(lengths: int) -> int:
+        return max(_partitions(texts), math.ceil(places * lengths / PART_HASHES))
+
+    hashes = spool(count_hashes(texts, maps, 2, min_count, parts(1)), "collocations-pairs")
     maps.append(bitmap(hashes, bitmap_bits))
     if max_words > 2:
-        more = spool(count_hashes(texts, maps, max_words, min_count), "collocations-longer")
+        more = spool(count_hashes(texts, maps, max_words, min_count, parts(max_words - 2)), "collocations-longer")
         hashes = hashes.unionByName(more)
-        maps += _bitmaps(more, max_words, bitmap_bits)[1:]
-    found, wanted, tag = None, maps, F.pmod(F.xxhash64("text"), F.lit(PARTS[0]))
-    for i, part in enumerate(PARTS):
-        # each text is in one round
-        inside = F.pmod(tag, F.lit(part)) == 0
-        before = F.pmod(tag, F.lit(PARTS[i - 1])) == 0 if i else F.lit(False)
-        new = spool(collect_phrases(texts.filter(inside & ~before), maps, wanted), "collocations-candidates")
-        found = new if found is None else found.unionByName(new)
-        if i + 1 < len(PARTS):
-            open_ = spool(hashes.join(found.select("k", "h").distinct(), ["k", "h"], "left_anti"), "collocations-open")
-            wanted = [maps[0], *_bitmaps(open_, max_words, bitmap_bits)]
-    # a full bitmap may let a phrase through again
-    return found.distinct(), hashes, maps
+        maps += [bitmap(more.filter(F.col("k") == k), bitmap_bits) for k in range(3, max_words + 1)]
+    return hashes, maps
+
+
+def part_count(hashes: DataFrame, trie_bytes: int) -> int:
+    """How many parts windows are dealt into: so many that each one's phrases
+    are a trie's, about, and as many as Spark makes of a shuffle at least."""
+    size = hashes.agg(F.sum(F.col("k").cast("long") * 8 + 32)).first()[0] or 0
+    return max(_partitions(hashes), math.ceil(size / trie_bytes))
 
 
 def missed(hashes: DataFrame, counted: DataFrame) -> DataFrame:
-    """The hashes that occur more often than the phrases ``counted`` with them."""
+    """The hashes that occur more often than the phrases ``counted`` with them (for tests)."""
     have = counted.groupBy("k", "h").agg(F.sum("f").alias("f"))
     return hashes.join(have, ["k", "h"], "left").filter(F.col("n") > F.coalesce("f", F.lit(0))).select("k", "h")
 
@@ -503,15 +582,10 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
         raise ValueError("phrases have two words or more and occur")
     texts = _texts(docs)
     words = spool(count_words(texts), "collocations-words")
-    found, hashes, maps = candidates(texts, words, min_count, max_words, bitmap_bits)
-    found = spool(found, "collocations-candidates")
-    counted = spool(count_phrases(texts, found, trie_bytes).join(found, ["lang", "phrase"]), "collocations-counted")
-    lost = spool(missed(hashes, counted), "collocations-lost")
-    if not lost.isEmpty():
-        again = collect_phrases(texts, maps, [maps[0], *_bitmaps(lost, max_words, bitmap_bits)])
-        again = spool(again.join(found, ["lang", "phrase"], "left_anti"), "collocations-candidates")
-        counted = counted.unionByName(count_phrases(texts, again, trie_bytes).join(again, ["lang", "phrase"]))
-    phrases = spool(counted.filter(F.col("f") >= min_count).select("lang", "phrase", "f"), "collocations-phrases")
+    hashes, maps = frequent(texts, words, min_count, max_words, bitmap_bits)
+    parts = part_count(hashes, trie_bytes)
+    counted = count_phrases(deal_windows(texts, maps, parts), parts, trie_bytes)
+    phrases = spool(counted.filter(F.col("f") >= min_count), "collocations-phrases")
     common = words.filter(F.col("f") >= min_count).select("lang", F.col("word").alias("part"), "f")
     scored = weakest_cuts(phrases, common.unionByName(phrases.select("lang", F.col("phrase").alias("part"), "f")))
     covered = F.coalesce(_wide(F.col("longest")) * _wide(100) >= _wide(F.col("a")) * _wide(COVER_PERCENT), F.lit(False))

@@ -201,3 +201,40 @@ def test_collocations_of_odd_rows(odd_docs, no_docs):
     found = collocations.mine(odd_docs, min_count=2).collect()
     rows = [(r.lang, r.text) for r in odd_docs.collect()]
     assert sorted(tuple(r) for r in found) == brute(rows, 2, 4, 2000)
+
+
+def test_texts_are_read_as_often_for_many_tries_as_for_one(spark):
+    rng = random.Random(8)
+    rows = [(i, "en", " ".join(rng.choice("abcdefgh") for _ in range(40))) for i in range(60)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, DOCS).mapInArrow(counting, DOCS)
+    found, times = [], []
+    for trie_bytes in (16 << 20, 600):
+        before = read.value
+        found.append(sorted(tuple(r) for r in collocations.mine(df, 4, 3, 40, trie_bytes).collect()))
+        times.append((read.value - before) / len(rows))
+    assert times[0] == times[1] <= 4
+    assert found[0] == found[1] == brute([r[1:] for r in rows], 4, 3, 40)
+
+
+def test_windows_are_the_longest_phrases_that_pass():
+    words = collocations.Words(collocations.tokens("a b\t c. b  c d"))
+    h, seed = collocations.word_hashes(words), collocations._seed("en")
+    every = collocations.Bitmap(6, np.full(1, ~np.uint64(0)))
+    assert collocations.windows(words, h, seed, [every] * 3) == [b"a b c", b"b c", b"b c d", b"c d"]
+    assert collocations.windows(words, h, seed, [every, every, collocations.Bitmap(6, np.zeros(1, np.uint64))]) == [b"a b", b"b c", b"b c", b"c d"]
+    held = {"en": {b"a b c": 2, b"a b": 3, b"b c": 1}, "de": {b"a b": 7}}
+    assert sorted(map(tuple, (r.values() for r in collocations.count_starts(held).to_pylist()))) == [
+        ("de", "a b", 7), ("en", "a b", 5), ("en", "a b c", 2), ("en", "b c", 1)]
+
+
+def test_hash_counts_of_several_rows_add_up():
+    h, n = collocations._summed([np.array([3, 9], np.uint64), np.array([3, 2**64 - 1], np.uint64), np.array([9], np.uint64)],
+                                [np.array([1, 2]), np.array([10, 5]), np.array([30])])
+    assert (h.tolist(), n.tolist()) == ([3, 9, 2**64 - 1], [11, 32, 5])
